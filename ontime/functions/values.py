@@ -65,7 +65,10 @@ def key_text(columns: list[str]) -> Column:
     """One text key out of several columns; stable across runs, partitionings and engines.
 
     Nulls are written as \\N and separators in the values are escaped, so different rows never share a key.
+    A single column is its own key.
     """
+    if len(columns) == 1:
+        return F.col(columns[0]).cast("string")
     parts = [
         F.coalesce(F.replace(F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("-"), F.lit("\\-")), F.lit("\\N"))
         for c in columns

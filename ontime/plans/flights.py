@@ -107,26 +107,28 @@ def derive(spark: SparkSession, sf_dir: str) -> DataFrame:
 _stored: dict[tuple[str, str], str] = {}
 
 
-def flights(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
-    """The flights in the raw layout, with ``keep`` (out of ``KEY`` and ``year``) in front.
+def stored_path(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the flights table: ingested once into year-partitioned Parquet, as any warehouse would.
 
-    As in any punctuality warehouse, flights are ingested once into a year-partitioned Parquet table
-    and every query reads that. Here it lies in the shared work folder and is written again for each
-    application, so it always matches the source tables; an incomplete write leaves no entry.
+    It lies in the shared work folder and is written again for each application, so it matches the
+    source tables; an incomplete write leaves no entry here.
     """
     place = (spark.sparkContext.applicationId, sf_dir)
-    stored = None
     if place in _stored:
         try:
-            stored = read_years(spark, _stored[place], KEY_AND_RAW)
+            spark.read.schema(KEY_AND_RAW).parquet(_stored[place])
         except AnalysisException:  # the folder was cleared meanwhile
             del _stored[place]
-    if stored is None:
+    if place not in _stored:
         path = fresh_dir(spark, "flights")
         write_years(derive(spark, sf_dir), path)
         _stored[place] = path
-        stored = read_years(spark, path, KEY_AND_RAW)
-    return stored.select(*(keep or []), *RAW_NAMES)
+    return _stored[place]
+
+
+def flights(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
+    """The flights in the raw layout, with ``keep`` (out of ``KEY`` and ``year``) in front."""
+    return read_years(spark, stored_path(spark, sf_dir), KEY_AND_RAW).select(*(keep or []), *RAW_NAMES)
 
 
 def flights_sql(keep: list[str] | None = None) -> str:
@@ -168,7 +170,7 @@ def untidy(column: str) -> str:
 
 def flights_text(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """Flights with every column as text, as a CSV file would hold them, some of it untidy."""
-    df = flights(spark, sf_dir, KEY)
+    df = flights(spark, sf_dir, [*KEY, "year"])
     return df.select(*(keep or []), *[F.expr(untidy(c)).alias(c) for c in RAW_NAMES])
 
 

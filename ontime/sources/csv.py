@@ -18,24 +18,31 @@ def list_files(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataFr
     return listing.load(path).select("path", F.col("length").alias("bytes"))
 
 
-def _reader(spark: SparkSession):
-    return spark.read.option("header", True).option("pathGlobFilter", PATTERN)
+def _reader(spark: SparkSession, pattern: str = PATTERN):
+    return spark.read.option("header", True).option("pathGlobFilter", pattern)
 
 
-def read_text(spark: SparkSession, path: str) -> DataFrame:
+def read_text(
+    spark: SparkSession, path: str, columns: list[str] | None = None, pattern: str = PATTERN
+) -> DataFrame:
     """One CSV data set (a file, or a folder of files with one header) with every column as text.
 
+    ``columns`` names the cells of files that have no header line.
+
     Rows with too few or too many cells stay, with the original line in ``_malformed``. A file whose
     header differs from the first one's is an error, never silently read into the wrong columns.
     A file that cannot be read at all is skipped; ``rows_per_file`` shows which ones gave no rows.
     """
-    if not path.endswith(".csv") and list_files(spark, path).isEmpty():
+    if list_files(spark, path, pattern).isEmpty():
         raise ValueError(f"no CSV files in {path}")
-    partitions = {f.name for f in _reader(spark).schema("_ string").csv(path).schema.fields} - {"_"}
-    header = [c for c in _reader(spark).csv(path).columns if c not in partitions]
+    header = columns
+    if header is None:
+        folders = set(_reader(spark, pattern).schema("_ string").csv(path).columns) - {"_"}
+        header = [c for c in _reader(spark, pattern).csv(path).columns if c not in folders]
     layout = T.StructType([T.StructField(c, T.StringType()) for c in header + [BAD]])
     return (
-        _reader(spark)
+        _reader(spark, pattern)
+        .option("header", columns is None)
         .schema(layout)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
@@ -88,9 +95,11 @@ def dataset_of(column: str = "_metadata.file_path"):
 
 
 def row_report(df: DataFrame) -> DataFrame:
-    """Per folder: rows read by ``read_text`` and how many of them were malformed."""
+    """Per folder: rows read by ``read_text``, how many were malformed, and how many lack their first cell."""
     return df.groupBy(dataset_of().alias("dataset")).agg(
-        F.count("*").alias("n"), F.count(BAD).alias("n_malformed")
+        F.count("*").alias("n"),
+        F.count(BAD).alias("n_malformed"),
+        F.count_if(F.col(df.columns[0]).isNull()).alias("n_no_first_cell"),
     )
 
 
