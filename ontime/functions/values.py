@@ -28,15 +28,14 @@ def number(column: Column | str) -> Column:
     return finite(c.try_cast("double"))
 
 
-def convert(column: Column | str, kind: T.DataType) -> Column:
-    """Known text as the wanted type; null where it does not convert."""
-    text = known_text(column)
+def convert_known(text: Column, kind: T.DataType) -> Column:
+    """Text as the wanted type; null where it does not convert."""
     if isinstance(kind, T.StringType):
         return text
     if isinstance(kind, FLOATS):
         return finite(text.try_cast(kind))
     if isinstance(kind, T.DateType):
-        return F.try_to_date(text, "yyyy-MM-dd")
+        return iso_date(text)
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         # "5.0" is a whole number too.
         value = text.try_cast("double")
@@ -44,13 +43,36 @@ def convert(column: Column | str, kind: T.DataType) -> Column:
     return text.try_cast(kind)
 
 
+def convert(column: Column | str, kind: T.DataType) -> Column:
+    """Known text as the wanted type; null for a "no value" token or where it does not convert."""
+    return convert_known(known_text(column), kind)
+
+
+def iso_date(text: Column) -> Column:
+    """A yyyy-MM-dd text as a date, null for any other text.
+
+    A plain cast is several times faster than parsing by pattern, but it also takes a year alone or
+    a time of day behind the date; the pattern check rules those out.
+    """
+    return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text.try_cast("date"))
+
+
 def calendar_date(column: str, kind: T.DataType) -> Column:
     """The column as a date, whether it holds text, a date or a timestamp."""
     if isinstance(kind, T.StringType):
-        return F.try_to_date(F.col(column), "yyyy-MM-dd")
+        return iso_date(F.col(column))
     return F.col(column).cast("date")
 
 
+# English weekday names.
+WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+
+
+def weekday_name(date: Column) -> Column:
+    """The English name whatever the session's locale; a lookup, not a formatter call per row."""
+    return F.get(F.array(*[F.lit(d) for d in WEEKDAYS]), F.weekday(date))
+
+
 def missing(field: T.StructField) -> Column:
     """True where the value is null, or NaN for floating-point columns."""
     c = F.col(f"`{field.name}`")

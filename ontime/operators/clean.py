@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ontime.functions.values import calendar_date, key_text, number, total
+from ontime.functions.values import calendar_date, key_text, number, total, weekday_name
 from ontime.schema import CANCEL_REASONS, CAUSES, CLEAN_NAMES, RENAMES, ZERO_FILLED
 
 
@@ -20,15 +20,17 @@ def filter_known(df: DataFrame, column: str) -> DataFrame:
 
 def date_parts(df: DataFrame, column: str = "FL_DATE") -> DataFrame:
     """Add year, month, day and the English weekday name; all null for an impossible date."""
-    date = calendar_date(column, df.schema[column].dataType)
-    return df.withColumns(
+    # A column of its own, so that the text is parsed once per row and not once per part.
+    dated = df.withColumn("_date", calendar_date(column, df.schema[column].dataType))
+    date = F.col("_date")
+    return dated.withColumns(
         {
             "year": F.year(date),
             "month": F.month(date),
             "day": F.dayofmonth(date),
-            "day_of_week": F.date_format(date, "EEEE"),
+            "day_of_week": weekday_name(date),
         }
-    )
+    ).drop("_date")
 
 
 def any_positive(columns: list[Column]) -> Column:

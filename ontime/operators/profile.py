@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ontime.functions.stats import equal_width_bin
-from ontime.functions.values import convert, known_text, missing
+from ontime.functions.values import convert_known, known_text, missing
 from ontime.operators.ordered import pick_quantiles, value_ranks
 from ontime.schema import REPORT_CATEGORIES, REPORT_FLAGS, REPORT_MEASURES, categorical_columns, numeric_columns
 
 
-def _long(df: DataFrame, by: list[str], rows: list[list[Column]]) -> DataFrame:
+def long_rows(df: DataFrame, by: list[str], rows: list[list[Column]]) -> DataFrame:
     """One aggregate, then one output row per entry of ``rows``."""
     entries = F.array(*[F.struct(*cells) for cells in rows])
     return df.groupBy(*by).agg(entries.alias("_rows")).select(*by, F.inline("_rows"))
@@ -23,8 +23,9 @@ def tall(df: DataFrame, by: list[str], columns: list[str], kind: str) -> DataFra
     shuffled. One aggregate over tall rows compiles to a small loop; one aggregate per column would
     grow past what the JVM compiles.
     """
+    # The array is a projection of its own: as an argument of the generator it would be interpreted.
     values = F.array(*[F.col(f"`{c}`").cast(kind) for c in columns])
-    return df.select(*by, F.posexplode(values).alias("_at", "value"))
+    return df.select(*by, values.alias("_values")).select(*by, F.posexplode("_values").alias("_at", "value"))
 
 
 def named(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
@@ -41,7 +42,7 @@ def row_counts(df: DataFrame, by: list[str]) -> DataFrame:
 def null_profile(df: DataFrame, keep_zero: bool = False) -> DataFrame:
     """Missing values per column, most first."""
     rows = [[F.lit(f.name).alias("column"), F.count_if(missing(f)).alias("n_missing")] for f in df.schema.fields]
-    profile = _long(df, [], rows)
+    profile = long_rows(df, [], rows)
     if not keep_zero:
         profile = profile.filter("n_missing > 0")
     return profile.orderBy(F.desc("n_missing"), "column")
@@ -83,7 +84,7 @@ def distinct_counts(df: DataFrame, by: list[str], columns: list[str], approximat
     """
     if approximate:
         rows = [[F.lit(c).alias("column"), F.approx_count_distinct(c).alias("n_distinct")] for c in columns]
-        return _long(df, by, rows)
+        return long_rows(df, by, rows)
     return frequencies(df, columns, by).groupBy(*by, "column").agg(F.count("value").alias("n_distinct"))
 
 
@@ -140,21 +141,21 @@ def describe_table(df: DataFrame) -> DataFrame:
             F.stddev_samp("value").alias("stddev"),
             F.min("value").alias("min"),
             F.max("value").alias("max"),
-            F.first(no_text).alias("min_text"),
-            F.first(no_text).alias("max_text"),
         )
-        parts.append(named(stats, numbers))
+        parts.append(named(stats, numbers).withColumns({"min_text": no_text, "max_text": no_text}))
     if texts:
-        stats = tall(df, [], texts, "string").groupBy("_at").agg(
-            F.count("value").alias("n"),
-            F.first(nothing).alias("mean"),
-            F.first(nothing).alias("stddev"),
-            F.first(nothing).alias("min"),
-            F.first(nothing).alias("max"),
-            F.min("value").alias("min_text"),
-            F.max("value").alias("max_text"),
-        )
-        parts.append(named(stats, texts))
+        # Ranges of text in a grouped aggregate would sort every value, so these are plain totals.
+        rows = [
+            [
+                F.lit(c).alias("column"),
+                F.count(c).alias("n"),
+                *[nothing.alias(a) for a in ("mean", "stddev", "min", "max")],
+                F.min(F.col(c).cast("string")).alias("min_text"),
+                F.max(F.col(c).cast("string")).alias("max_text"),
+            ]
+            for c in texts
+        ]
+        parts.append(long_rows(df, [], rows))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
@@ -232,18 +233,30 @@ def box_stats(df: DataFrame, by: str, value: str, reach: float = 1.5) -> DataFra
 
 def schema_drift(df: DataFrame, by: list[str], kinds: T.StructType) -> DataFrame:
     """Per group and column: values present, missing, and present but not of the wanted type, in one scan."""
-    states = []
-    for f in kinds.fields:
-        text = F.col(f"`{f.name}`").cast("string")
-        known, converted = known_text(text), convert(text, f.dataType)
-        states.append(F.when(known.isNull(), 0).when(converted.isNull(), 1).otherwise(2))
-    tallied = df.select(*by, F.posexplode(F.array(*states)).alias("_at", "_state"))
-    counts = tallied.groupBy(*by, "_at").agg(
-        F.count_if(F.col("_state") > 0).alias("n_present"),
-        F.count_if(F.col("_state") == 0).alias("n_missing"),
-        F.count_if(F.col("_state") == 1).alias("n_rejected"),
-    )
-    return named(counts, kinds.names, by)
+    values = known_and_converted(df, by, [(f.name, f.dataType) for f in kinds.fields])
+    rows = []
+    for i, f in enumerate(kinds.fields):
+        present = F.count(f"_known{i}")
+        rows.append(
+            [
+                F.lit(f.name).alias("column"),
+                present.alias("n_present"),
+                (F.count("*") - present).alias("n_missing"),
+                (present - F.count(f"_converted{i}")).alias("n_rejected"),
+            ]
+        )
+    return long_rows(values, by, rows)
+
+
+def known_and_converted(df: DataFrame, by: list[str], kinds: list[tuple[str, T.DataType]]) -> DataFrame:
+    """For the i-th column its known text and that text's converted value, as _known{i} and _converted{i}.
+
+    Two projections, so that a text used twice is still computed once. Counting what is not null in
+    them costs far less than one tall row per value.
+    """
+    texts = [known_text(F.col(f"`{c}`").cast("string")).alias(f"_known{i}") for i, (c, _) in enumerate(kinds)]
+    values = [convert_known(F.col(f"_known{i}"), kind).alias(f"_converted{i}") for i, (_, kind) in enumerate(kinds)]
+    return df.select(*by, *texts).select("*", *values)
 
 
 def coercion_report(df: DataFrame, kinds: T.StructType) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ontime.functions.stats import equal_width_bin, intercept, pearson, slope
-from ontime.operators.profile import _long, bounds
+from ontime.operators.profile import long_rows, bounds
 from ontime.schema import numeric_columns
 
 
@@ -88,4 +88,4 @@ def pair_fits(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
                 pearson(cx, cy).alias("corr"),
             ]
         )
-    return _long(df, [], rows)
+    return long_rows(df, [], rows)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -104,28 +106,33 @@ def derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return helped.select(*KEY, *[F.expr(RECORD[c]).alias(c) for c in RAW_NAMES])
 
 
-_stored: dict[tuple[str, str], str] = {}
+_stored: dict[tuple[str, str, str], str] = {}
 
 
-def stored_path(spark: SparkSession, sf_dir: str) -> str:
-    """The folder of the flights table: ingested once into year-partitioned Parquet, as any warehouse would.
+def _stored_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> str:
+    """The folder of a year-partitioned Parquet table that is written on first use.
 
     It lies in the shared work folder and is written again for each application, so it matches the
     source tables; an incomplete write leaves no entry here.
     """
-    place = (spark.sparkContext.applicationId, sf_dir)
+    place = (spark.sparkContext.applicationId, sf_dir, name)
     if place in _stored:
         try:
-            spark.read.schema(KEY_AND_RAW).parquet(_stored[place])
+            spark.read.schema("year int").parquet(_stored[place])
         except AnalysisException:  # the folder was cleared meanwhile
             del _stored[place]
     if place not in _stored:
-        path = fresh_dir(spark, "flights")
-        write_years(derive(spark, sf_dir), path)
+        path = fresh_dir(spark, name)
+        write_years(build(), path)
         _stored[place] = path
     return _stored[place]
 
 
+def stored_path(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the flights table: ingested once, as any warehouse would, and read by every query."""
+    return _stored_once(spark, sf_dir, "flights", lambda: derive(spark, sf_dir))
+
+
 def flights(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """The flights in the raw layout, with ``keep`` (out of ``KEY`` and ``year``) in front."""
     return read_years(spark, stored_path(spark, sf_dir), KEY_AND_RAW).select(*(keep or []), *RAW_NAMES)
@@ -170,8 +177,15 @@ def untidy(column: str) -> str:
 
 def flights_text(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """Flights with every column as text, as a CSV file would hold them, some of it untidy."""
-    df = flights(spark, sf_dir, [*KEY, "year"])
-    return df.select(*(keep or []), *[F.expr(untidy(c)).alias(c) for c in RAW_NAMES])
+
+    def build() -> DataFrame:
+        df = flights(spark, sf_dir, [*KEY, "year"])
+        return df.select(*KEY, "year", *[F.expr(untidy(c)).alias(c) for c in RAW_NAMES])
+
+    texts = [T.StructField(c, T.StringType()) for c in RAW_NAMES]
+    layout = T.StructType(KEY_AND_RAW.fields[: len(KEY)] + texts)
+    path = _stored_once(spark, sf_dir, "flights-text", build)
+    return read_years(spark, path, layout).select(*(keep or []), *RAW_NAMES)
 
 
 def flights_text_sql(keep: list[str] | None = None) -> str:

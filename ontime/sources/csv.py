@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ontime.functions.values import convert
 from ontime.operators.clean import union_by_name
 from ontime.schema import RAW
+from ontime.session import WIDE_STAGES, settings
 
 BAD = "_malformed"
 PATTERN = "*.csv"
@@ -106,4 +107,5 @@ def row_report(df: DataFrame) -> DataFrame:
 def write(df: DataFrame, path: str, by: list[str] | None = None, one_file: bool = False) -> None:
     """Write with a header. ``one_file`` forces everything through a single task; only for small tables."""
     out = (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True)
-    (out.partitionBy(*by) if by else out).csv(path)
+    with settings(df.sparkSession, WIDE_STAGES):
+        (out.partitionBy(*by) if by else out).csv(path)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ontime.functions.values import calendar_date, finite
 from ontime.operators.clean import union_by_name
+from ontime.session import WIDE_STAGES, settings
 
 
 def write_years(df: DataFrame, path: str, date: str = "FL_DATE", mode: str = "overwrite") -> None:
@@ -15,7 +16,8 @@ def write_years(df: DataFrame, path: str, date: str = "FL_DATE", mode: str = "ov
     become many small files, and a year with most of the rows is split over many tasks.
     """
     dated = df if "year" in df.columns else df.withColumn("year", F.year(calendar_date(date, df.schema[date].dataType)))
-    dated.hint("rebalance", "year").write.mode(mode).partitionBy("year").parquet(path)
+    with settings(df.sparkSession, WIDE_STAGES):
+        dated.hint("rebalance", "year").write.mode(mode).partitionBy("year").parquet(path)
 
 
 def read_years(spark: SparkSession, path: str, columns: T.StructType, years: list[int] | None = None) -> DataFrame:
