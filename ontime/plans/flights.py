@@ -16,6 +16,8 @@ TABLES = (
 ).split()
 
 KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+# The key alone repeats once in the smallest tables; with the date every flight has its own.
+EVENT_KEY = [*KEY, "FL_DATE"]
 KEY_AND_RAW = T.StructType(
     [T.StructField(k, T.IntegerType() if k == "l_linenumber" else T.LongType()) for k in KEY] + RAW.fields
 )

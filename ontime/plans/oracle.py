@@ -28,7 +28,7 @@ def _clean_columns(variant: str) -> dict[str, str]:
 def clean_sql(variant: str = "v3") -> str:
     columns = _clean_columns(variant)
     where = "WHERE CRS_DEP_TIME IS NOT NULL" if variant == "v3" else ""
-    return f"SELECT {', '.join(KEY)}, {', '.join(f'{columns[c]} AS {c}' for c in CLEAN_NAMES)} FROM flights {where}"
+    return f"SELECT {', '.join(KEY)}, FL_DATE, {', '.join(f'{columns[c]} AS {c}' for c in CLEAN_NAMES)} FROM flights {where}"
 
 
 def on_flights(query: str, **more: str) -> str:

@@ -11,7 +11,7 @@ from ontime.functions.values import known_text
 from ontime.operators import clean as C, evaluate as E, features as V, messages as M, models as L, profile as P
 from ontime.operators import relate as R, sample as S
 from ontime.plans import oracle as O
-from ontime.plans.flights import KEY, KEY_AND_RAW, MOD, UNTIDY, flights, flights_text, stored_path
+from ontime.plans.flights import EVENT_KEY, KEY, KEY_AND_RAW, MOD, UNTIDY, flights, flights_text, stored_path
 from ontime.schema import (
     CANCEL_REASONS, CAUSES, CLEAN_NAMES, CORRELATED, MESSAGE, NA_TOKENS, RAW, RAW_NAMES, RAW_NUMERIC, RAW_TEXT,
     REPORT_CATEGORIES, REPORT_FLAGS, REPORT_MEASURES,
@@ -646,16 +646,16 @@ def model_roundtrip(spark, sf):
 
 def messages(df: DataFrame) -> DataFrame:
     """Raw flights (with key) as message rows."""
-    cleaned = C.with_event_id(C.clean(df, keep=[*KEY, "FL_DATE"]), KEY)
+    cleaned = C.with_event_id(C.clean(df, keep=EVENT_KEY), EVENT_KEY)
     time = F.to_timestamp(F.concat("FL_DATE", F.lit("T00:00:00Z")))
     rows = cleaned.withColumn("event_time", time)
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MESSAGE.fields])
 
 
-_ID_SQL = " || '-' || ".join(f"CAST({c} AS VARCHAR)" for c in KEY)
+_ID_SQL = " || '-' || ".join(f"CAST({c} AS VARCHAR)" for c in KEY) + " || '-' || replace(FL_DATE, '-', '\\-')"
 _LONGS = ["delayed", "cancelled", "diverted"]
 _JSON_SQL = names([f"'{c}': {c}" for c in CLEAN_NAMES])
-_EVENTS = f"SELECT {_ID_SQL} AS event_id, strftime(d, '%Y-%m-%dT00:00:00.000000Z') AS event_time, * FROM (SELECT c.*, CAST(f.FL_DATE AS DATE) AS d FROM clean c JOIN flights f USING ({names(KEY)}))"
+_EVENTS = f"SELECT {_ID_SQL} AS event_id, FL_DATE || 'T00:00:00.000000Z' AS event_time, * FROM clean"
 
 
 @query(

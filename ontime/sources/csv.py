@@ -24,7 +24,11 @@ def _reader(spark: SparkSession, pattern: str = PATTERN):
 
 
 def read_text(
-    spark: SparkSession, path: str, columns: list[str] | None = None, pattern: str = PATTERN
+    spark: SparkSession,
+    path: str,
+    columns: list[str] | None = None,
+    pattern: str = PATTERN,
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """One CSV data set (a file, or a folder of files with one header) with every column as text.
 
@@ -32,7 +36,8 @@ def read_text(
 
     Rows with too few or too many cells stay, with the original line in ``_malformed``. A file whose
     header differs from the first one's is an error, never silently read into the wrong columns.
-    A file that cannot be read at all is skipped; ``rows_per_file`` shows which ones gave no rows.
+    With ``skip_unreadable`` a file that cannot be read, or has another header, is left out instead;
+    ``rows_per_file`` then lists it with 0 rows.
     """
     if list_files(spark, path, pattern).isEmpty():
         raise ValueError(f"no CSV files in {path}")
@@ -49,7 +54,7 @@ def read_text(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD)
         .option("columnPruning", False)  # a row's cells can only be counted when all are parsed
-        .option("ignoreCorruptFiles", True)
+        .option("ignoreCorruptFiles", skip_unreadable)
         .csv(path)
     )
 
@@ -63,11 +68,13 @@ def typed(df: DataFrame, layout: T.StructType = RAW, keep: list[str] | None = No
     return df.select(*(keep or []), *columns)
 
 
-def ingest(spark: SparkSession, paths: list[str], layout: T.StructType = RAW) -> DataFrame:
+def ingest(
+    spark: SparkSession, paths: list[str], layout: T.StructType = RAW, skip_unreadable: bool = False
+) -> DataFrame:
     """Several CSV data sets, one per year say, as one typed table; headers may differ between them."""
     if not paths:
         raise ValueError("no input paths")
-    return union_by_name([typed(read_text(spark, p), layout) for p in paths])
+    return union_by_name([typed(read_text(spark, p, skip_unreadable=skip_unreadable), layout) for p in paths])
 
 
 def infer(spark: SparkSession, path: str, sampled: float = 1.0) -> DataFrame:
