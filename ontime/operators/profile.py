@@ -13,7 +13,7 @@ from ontime.schema import REPORT_CATEGORIES, REPORT_FLAGS, REPORT_MEASURES, cate
 def long_rows(df: DataFrame, by: list[str], rows: list[list[Column]]) -> DataFrame:
     """One aggregate, then one output row per entry of ``rows``."""
     entries = F.array(*[F.struct(*cells) for cells in rows])
-    return df.groupBy(*by).agg(entries.alias("_rows")).select(*by, F.inline("_rows"))
+    return df.groupBy(*by).agg(entries.alias("_rows")).select(*by, F.inline_outer("_rows"))
 
 
 def tall(df: DataFrame, by: list[str], columns: list[str], kind: str) -> DataFrame:
@@ -24,8 +24,9 @@ def tall(df: DataFrame, by: list[str], columns: list[str], kind: str) -> DataFra
     grow past what the JVM compiles.
     """
     # The array is a projection of its own: as an argument of the generator it would be interpreted.
+    # It is never empty; the outer form only keeps Spark from filtering on its size, which computes it twice.
     values = F.array(*[F.col(f"`{c}`").cast(kind) for c in columns])
-    return df.select(*by, values.alias("_values")).select(*by, F.posexplode("_values").alias("_at", "value"))
+    return df.select(*by, values.alias("_values")).select(*by, F.posexplode_outer("_values").alias("_at", "value"))
 
 
 def named(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
@@ -101,31 +102,30 @@ def numeric_stats(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame
 
 def year_report(df: DataFrame, by: str = "year") -> DataFrame:
     """Per group and column: rows, distinct values, statistics and flag counts, as (section, column, item, value)."""
-    items = ["mean", "min", "max", "stddev"]
-    statistics = (
-        numeric_stats(df, [by], REPORT_MEASURES)
-        .unpivot([by, "column"], items, "item", "value")
-        .select(by, F.lit("statistic").alias("section"), "column", "item", "value")
+    names = F.array(*[F.lit(c) for c in REPORT_MEASURES])
+    stats = tall(df, [by], REPORT_MEASURES, "double").groupBy(by, "_at").agg(
+        F.count("*").cast("double").alias("count"),
+        F.avg("value").alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.stddev_samp("value").alias("stddev"),
     )
 
-    values = frequencies(df, REPORT_CATEGORIES + REPORT_FLAGS, [by])
-    distincts = (
-        values.filter(F.col("column").isin(REPORT_CATEGORIES))
-        .groupBy(by, "column")
-        .agg(F.count("value").cast("double").alias("value"))
-        .select(by, F.lit("distinct").alias("section"), "column", F.lit("count").alias("item"), "value")
+    def cell(section: str, column: Column, item: str) -> Column:
+        return F.struct(F.lit(section).alias("section"), column.alias("column"), F.lit(item).alias("item"), F.col(item).alias("value"))
+
+    cells = F.array(*[cell("statistic", F.get(names, F.col("_at")), i) for i in ("mean", "min", "max", "stddev")])
+    # Every row has one entry per measure, so the entries of the first one are the rows.
+    rows = F.when(F.col("_at") == 0, F.array(cell("rows", F.lit("*"), "count"))).otherwise(F.slice(cells, 1, 0))
+    statistics = stats.select(by, F.inline(F.concat(cells, rows)))
+
+    distincts = distinct_counts(df, [by], REPORT_CATEGORIES).select(
+        by, F.lit("distinct").alias("section"), "column", F.lit("count").alias("item"), F.col("n_distinct").cast("double").alias("value")
     )
-    flags = values.filter(F.col("column").isin(REPORT_FLAGS)).select(
+    flags = frequencies(df, REPORT_FLAGS, [by]).select(
         by, F.lit("flag").alias("section"), "column", F.col("value").alias("item"), F.col("n").cast("double").alias("value")
     )
-    # Every row has exactly one entry per flag, so the entries of one flag add up to the row count.
-    rows = (
-        values.filter(F.col("column") == REPORT_FLAGS[0])
-        .groupBy(by)
-        .agg(F.sum("n").cast("double").alias("value"))
-        .select(by, F.lit("rows").alias("section"), F.lit("*").alias("column"), F.lit("count").alias("item"), "value")
-    )
-    return statistics.unionByName(distincts).unionByName(flags).unionByName(rows)
+    return statistics.unionByName(distincts).unionByName(flags)
 
 
 def describe_table(df: DataFrame) -> DataFrame:

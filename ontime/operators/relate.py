@@ -25,7 +25,7 @@ def correlations(df: DataFrame, columns: list[str] | None = None, nulls: str = "
     at = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])
     values = F.array(*[F.col(c).cast("double") for c in columns])
     # Tall rows, one per pair, end in the map-side aggregate; see profile.tall.
-    crossed = df.select(values.alias("v")).select("v", F.explode(at).alias("p"))
+    crossed = df.select(values.alias("v")).select("v", F.explode_outer(at).alias("p"))
     crossed = crossed.select("p", F.get("v", F.col("p.i")).alias("x"), F.get("v", F.col("p.j")).alias("y"))
     known = crossed.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
     half = known.groupBy("p").agg(pearson(F.col("x"), F.col("y")).alias("corr"))

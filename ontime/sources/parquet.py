@@ -9,15 +9,16 @@ from ontime.operators.clean import union_by_name
 from ontime.session import WIDE_STAGES, settings
 
 
-def write_years(df: DataFrame, path: str, date: str = "FL_DATE", mode: str = "overwrite") -> None:
+def write_years(df: DataFrame, path: str, date: str = "FL_DATE", mode: str = "overwrite", gather: bool = True) -> None:
     """Write one folder per year.
 
-    The rebalance hint gathers each year's rows into files of the advised size: small years do not
-    become many small files, and a year with most of the rows is split over many tasks.
+    ``gather`` shuffles each year's rows into files of the advised size: small years do not become
+    many small files, and a year with most of the rows is split over many tasks. Without it every task
+    writes its own file per year; that saves the shuffle where tasks are large already.
     """
     dated = df if "year" in df.columns else df.withColumn("year", F.year(calendar_date(date, df.schema[date].dataType)))
     with settings(df.sparkSession, WIDE_STAGES):
-        dated.hint("rebalance", "year").write.mode(mode).partitionBy("year").parquet(path)
+        (dated.hint("rebalance", "year") if gather else dated).write.mode(mode).partitionBy("year").parquet(path)
 
 
 def read_years(spark: SparkSession, path: str, columns: T.StructType, years: list[int] | None = None) -> DataFrame:
