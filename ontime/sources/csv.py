@@ -77,6 +77,13 @@ def ingest(
     return union_by_name([typed(read_text(spark, p, skip_unreadable=skip_unreadable), layout) for p in paths])
 
 
+def require_rows(df: DataFrame) -> DataFrame:
+    """The table itself, or an error when nothing was read; stops at the first row."""
+    if df.isEmpty():
+        raise ValueError("no valid rows were read")
+    return df
+
+
 def infer(spark: SparkSession, path: str, sampled: float = 1.0) -> DataFrame:
     """Read with guessed types; ``sampled`` below 1 guesses from that part of the rows."""
     return _reader(spark).option("inferSchema", True).option("samplingRatio", sampled).csv(path)

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ontime.functions.values import calendar_date, finite
 from ontime.operators.clean import union_by_name
+from ontime.schema import RAW
 from ontime.session import WIDE_STAGES, settings
+from ontime.sources import csv
 
 
 def write_years(df: DataFrame, path: str, date: str = "FL_DATE", mode: str = "overwrite", gather: bool = True) -> None:
@@ -28,6 +30,11 @@ def read_years(spark: SparkSession, path: str, columns: T.StructType, years: lis
     return df.filter(F.col("year").isin(years)) if years else df
 
 
+def csv_to_years(spark: SparkSession, paths: list[str], out: str, layout: T.StructType = RAW, **options) -> None:
+    """CSV data sets straight to one year-partitioned Parquet table, in one job."""
+    write_years(csv.require_rows(csv.ingest(spark, paths, layout, **options)), out)
+
+
 def conform(df: DataFrame, layout: T.StructType) -> DataFrame:
     """The columns of ``layout`` by name, cast; extra columns go, absent ones are null.
 

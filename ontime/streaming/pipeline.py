@@ -11,8 +11,10 @@ from ontime.operators.models import TARGETS, score
 from ontime.schema import MESSAGE, PREDICTION
 from ontime.session import settings
 
-# State in RocksDB spills to disk instead of filling the executors' memory.
+# State in RocksDB spills to disk instead of filling the executors' memory. Counting its rows would
+# read every key before writing it.
 STATE = {
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
@@ -32,8 +34,12 @@ def start(
     trigger: dict | None = None,
     mode: str = "append",
     name: str | None = None,
+    state: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """Start a query. Only the console and memory sinks may go without a checkpoint folder."""
+    """Start a query. Only the console and memory sinks may go without a checkpoint folder.
+
+    ``state`` overrides options of the state store.
+    """
     if checkpoint is None and fmt not in ("console", "memory"):
         raise ValueError(f"a {fmt} stream needs a checkpoint folder to restart from")
     writer = df.writeStream.format(fmt).outputMode(mode).options(**(options or {}))
@@ -43,7 +49,7 @@ def start(
         writer = writer.queryName(name)
     if trigger:
         writer = writer.trigger(**trigger)
-    with settings(df.sparkSession, STATE):
+    with settings(df.sparkSession, STATE | (state or {})):
         return writer.start()
 
 

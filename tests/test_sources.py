@@ -58,6 +58,12 @@ def test_no_files(spark, tmp_path):
         csv.ingest(spark, [])
 
 
+def test_only_headers_is_an_error(spark, tmp_path):
+    put(f"{tmp_path}/a.csv", "name,x,d\n")
+    with pytest.raises(ValueError):
+        parquet.csv_to_years(spark, [str(tmp_path)], f"{tmp_path}/out", SMALL)
+
+
 def test_malformed_rows_are_kept_and_counted(spark, tmp_path):
     put(f"{tmp_path}/y=1/a.csv", "name,x\nann,1\nbob\ncal,3,4\n")
     put(f"{tmp_path}/y=2/b.csv", "name,x\ndan,4\n")
