@@ -22,6 +22,11 @@ def finite(column: Column) -> Column:
     return F.nanvl(column, F.lit(None).cast("double"))
 
 
+def real(column: str) -> Column:
+    """A numeric column as a double, NaN as null."""
+    return finite(F.col(column).cast("double"))
+
+
 def number(column: Column | str) -> Column:
     """Any value as a double; null where it is not one."""
     c = F.col(column) if isinstance(column, str) else column

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ontime.functions.values import real
 from ontime.session import durable
 
 
@@ -60,6 +61,7 @@ def value_ranks(df: DataFrame, by: list[str], value: str) -> DataFrame:
     A null value stays as a row with ``known`` 0, so groups without any known value are not lost.
     Counting equal values first happens map-side: a hot group shrinks before any shuffle.
     """
+    df = df.select(*by, real(value).alias(value))
     counts = df.groupBy(*by, value).agg(F.count("*").alias("n"), F.count(value).alias("known"))
     return running_totals(counts, by, [F.col(value)], ["known"])
 
@@ -89,7 +91,7 @@ def grouped_quantiles(
     """Quantiles per group; ``exact=False`` takes one pass with a bounded sketch."""
     if exact:
         return pick_quantiles(value_ranks(df, by, value), by, value, wanted)
-    return df.groupBy(*by).agg(*[F.percentile_approx(value, p, accuracy).alias(n) for n, p in wanted.items()])
+    return df.groupBy(*by).agg(*[F.percentile_approx(real(value), p, accuracy).alias(n) for n, p in wanted.items()])
 
 
 def positions(df: DataFrame, by: list[str], order: list[Column], ranged: int | None = None) -> DataFrame:

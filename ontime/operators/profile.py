@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ontime.functions.stats import equal_width_bin
-from ontime.functions.values import convert_known, known_text, missing
+from ontime.functions.values import convert_known, known_text, missing, real
 from ontime.operators.ordered import pick_quantiles, value_ranks
 from ontime.schema import REPORT_CATEGORIES, REPORT_FLAGS, REPORT_MEASURES, categorical_columns, numeric_columns
 
@@ -25,7 +25,7 @@ def tall(df: DataFrame, by: list[str], columns: list[str], kind: str) -> DataFra
     """
     # The array is a projection of its own: as an argument of the generator it would be interpreted.
     # It is never empty; the outer form only keeps Spark from filtering on its size, which computes it twice.
-    values = F.array(*[F.col(f"`{c}`").cast(kind) for c in columns])
+    values = F.array(*[real(f"`{c}`") if kind == "double" else F.col(f"`{c}`").cast(kind) for c in columns])
     return df.select(*by, values.alias("_values")).select(*by, F.posexplode_outer("_values").alias("_at", "value"))
 
 
@@ -37,7 +37,7 @@ def named(df: DataFrame, columns: list[str], by: list[str] | None = None) -> Dat
 
 
 def row_counts(df: DataFrame, by: list[str]) -> DataFrame:
-    return df.groupBy(*by).agg(F.count("*").alias("n"), F.lit(len(df.columns)).cast("bigint").alias("n_columns"))
+    return df.groupBy(*by).agg(F.count("*").alias("n"), F.lit(len(df.columns) - len(by)).cast("bigint").alias("n_columns"))
 
 
 def null_profile(df: DataFrame, keep_zero: bool = False) -> DataFrame:
@@ -161,6 +161,7 @@ def describe_table(df: DataFrame) -> DataFrame:
 
 def delay_by(df: DataFrame, by: str, delay: str, exact: bool = False) -> DataFrame:
     """Mean delay, median delay and number of flights per group, worst mean first."""
+    df = df.select(by, real(delay).alias(delay))
     if not exact:
         summary = df.groupBy(by).agg(
             F.avg(delay).alias("avg_delay"),
@@ -176,13 +177,13 @@ def delay_by(df: DataFrame, by: str, delay: str, exact: bool = False) -> DataFra
 
 
 def mean_by(df: DataFrame, by: str, value: str, name: str = "avg_delay") -> DataFrame:
-    return df.groupBy(by).agg(F.avg(value).alias(name)).orderBy(by)
+    return df.groupBy(by).agg(F.avg(real(value)).alias(name)).orderBy(by)
 
 
 def bounds(df: DataFrame, columns: list[str]) -> Column:
     """Minima and maxima of the columns, as a scalar subquery of two arrays: using it needs no join."""
-    lows = F.array(*[F.min(c).cast("double") for c in columns]).alias("lo")
-    highs = F.array(*[F.max(c).cast("double") for c in columns]).alias("hi")
+    lows = F.array(*[F.min(real(c)) for c in columns]).alias("lo")
+    highs = F.array(*[F.max(real(c)) for c in columns]).alias("hi")
     return df.agg(F.struct(lows, highs).alias("bounds")).scalar()
 
 

@@ -7,6 +7,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ontime.functions.stats import equal_width_bin, intercept, pearson, slope
+from ontime.functions.values import real
 from ontime.operators.profile import long_rows, bounds
 from ontime.schema import numeric_columns
 
@@ -23,7 +24,7 @@ def correlations(df: DataFrame, columns: list[str] | None = None, nulls: str = "
         raise ValueError(f"unknown null rule {nulls!r}")
     pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
     at = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])
-    values = F.array(*[F.col(c).cast("double") for c in columns])
+    values = F.array(*[real(c) for c in columns])
     # Tall rows, one per pair, end in the map-side aggregate; see profile.tall.
     crossed = df.select(values.alias("v")).select("v", F.explode_outer(at).alias("p"))
     crossed = crossed.select("p", F.get("v", F.col("p.i")).alias("x"), F.get("v", F.col("p.j")).alias("y"))
@@ -39,7 +40,7 @@ def correlations(df: DataFrame, columns: list[str] | None = None, nulls: str = "
 
 def _filled_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """The matrix has columns x columns cells whatever the number of rows, so it may pass the driver."""
-    filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
+    filled = df.select(*[F.coalesce(real(c), F.lit(0.0)).alias(c) for c in columns])
     vectors = VectorAssembler(inputCols=columns, outputCol="v", handleInvalid="skip").transform(filled).select("v")
     matrix = Correlation.corr(vectors, "v").first()[0].toArray()
     cells = [
@@ -62,12 +63,12 @@ def strongest(matrix: DataFrame, n: int = 10) -> DataFrame:
 
 def pair_density(df: DataFrame, x: str, y: str, bins: int = 30) -> DataFrame:
     """Row counts on a bins x bins grid over the pairs where both values are known."""
-    known = df.select(x, y).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    known = df.select(real(x).alias(x), real(y).alias(y)).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     bounded = known.withColumn("_b", bounds(known, [x, y]))
 
     def place(i: int, c: str) -> Column:
         lo, hi = F.get(F.col("_b.lo"), F.lit(i)), F.get(F.col("_b.hi"), F.lit(i))
-        return equal_width_bin(F.col(c).cast("double"), lo, hi, bins)
+        return equal_width_bin(F.col(c), lo, hi, bins)
 
     cells = bounded.select(place(0, x).alias("x_bin"), place(1, y).alias("y_bin"))
     return cells.groupBy("x_bin", "y_bin").agg(F.count("*").alias("n"))
@@ -77,7 +78,7 @@ def pair_fits(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Least-squares line, correlation and number of known pairs, for all pairs in one scan."""
     rows = []
     for x, y in pairs:
-        cx, cy = F.col(x), F.col(y)
+        cx, cy = real(x), real(y)
         rows.append(
             [
                 F.lit(x).alias("x"),

@@ -136,3 +136,24 @@ def test_sample_and_split_ignore_partitioning(spark):
 def test_text_totals_do_not_sort(table):
     plan = P.describe_table(table)._jdf.queryExecution().toString()
     assert "SortAggregate(key=[_at" not in plan
+
+
+def test_nan_counts_as_missing_everywhere(spark):
+    rows = [("a", x, 2 * x) for x in (1.0, 2.0, 3.0, 4.0)]
+    clean = spark.createDataFrame(rows, "g string, x double, y double")
+    dirty = spark.createDataFrame(rows + [("a", NAN, NAN), ("a", None, NAN)], "g string, x double, y double")
+    for fn in (
+        lambda d: P.histograms(d, ["x"], 4),
+        lambda d: P.numeric_stats(d, ["g"], ["x", "y"]),
+        lambda d: P.box_stats(d, "g", "x"),
+        lambda d: P.mean_by(d, "g", "x"),
+        lambda d: P.delay_by(d, "g", "x", exact=True).drop("flight_count"),
+        lambda d: P.delay_by(d, "g", "x").drop("flight_count"),
+        lambda d: P.describe_table(d).filter("column <> 'g'"),
+        lambda d: R.correlations(d, ["x", "y"], "pairwise"),
+        lambda d: R.pair_density(d, "x", "y", 2),
+        lambda d: R.pair_fits(d, [("x", "y")]),
+    ):
+        assert sorted(fn(dirty).collect()) == sorted(fn(clean).collect())
+    zeros = clean.union(spark.createDataFrame([("a", 0.0, 0.0)] * 2, clean.schema))
+    assert sorted(R.correlations(dirty, ["x", "y"]).collect()) == sorted(R.correlations(zeros, ["x", "y"]).collect())
