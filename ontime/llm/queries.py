@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import quality
+from ontime.llm import pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,3 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_quality_repetition(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", quality.score("text").alias("q"))
     return docs.select("doc_id", "q.*")
+
+
+@query()
+def op2_pii_skip_chain(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", pii.annotate("text", pii.fit(docs)).alias("found")).select("doc_id", "found.*")
+    listed = lambda c: F.concat_ws(",", F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    of_kind = lambda k: F.filter("base", lambda s: s["kind"] == k)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
