@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import pii, quality
+from ontime.llm import mixing, pii, quality, urls, warc
+from ontime.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,3 +41,40 @@ def op2_pii_skip_chain(spark, sf_dir):
     of_kind = lambda k: F.filter("base", lambda s: s["kind"] == k)
     counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+@query()
+def op4_mix_sources(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").alias("chars"))
+    parts = mixing.tempered_weights(docs, "source", F.col("chars"))
+    return mixing.interleave(docs, parts, "source", F.col("chars"), ["doc_id"])
+
+
+#: Host, path and verdict of the written rules.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def url_rules(spark: SparkSession) -> DataFrame:
+    """As an inline table, whose size Spark knows."""
+    return spark.sql("SELECT * FROM VALUES " + ", ".join(str(r) for r in URL_RULES) + " AS t(host, path, verdict)")
+
+
+@query()
+def op9_url_trees(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    ruled = urls.with_rules(pages, url_rules(spark))
+    return urls.judge(ruled, urls.fit(ruled)).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op10_warc_addressed(spark, sf_dir):
+    archive = fresh_dir(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), archive, "page_id", "url", "html")
+    records = warc.read(spark, archive)
+    return records.select(F.col("id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
