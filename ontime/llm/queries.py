@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import mixing, pii, quality, urls, warc
+from ontime.llm import jaccard, mixing, pii, quality, urls, warc
 from ontime.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,11 @@ def op2_pii_skip_chain(spark, sf_dir):
     return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
+@query()
+def op3_jaccard_count_tree(spark, sf_dir):
+    return jaccard.classes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query()
 def op4_mix_sources(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").alias("chars"))

@@ -1,0 +1,136 @@
+"""The Jaccard join against all pairs, and the reasoning that no link is lost on the way."""
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from ontime.llm import jaccard, textblocks
+from ontime.llm.queries import QUERIES
+from ontime.llm.tables import components
+
+SF = "/root/testdata/sf0.01"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_set(text, width=4):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(low)
+    return frozenset([tuple(words)] if 0 < len(words) < width else (tuple(words[i : i + width]) for i in range(len(words) - width + 1)))
+
+
+def plain_components(rows, percent=85):
+    """rows: (id, text). Union-find over all pairs."""
+    root = {i: i for i, _ in rows if i is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    sets = [(i, plain_set(t)) for i, t in rows if i is not None]
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and b and min(len(a), len(b)) * 100 >= percent * max(len(a), len(b)) and 100 * len(a & b) >= percent * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return {i: find(i) for i in root}
+
+
+def check(got, rows):
+    want = plain_components(rows)
+    assert len(got) == len(rows)
+    assert sorted((str(r.id), r.n_shingles) for r in got) == sorted((str(i), len(plain_set(t))) for i, t in rows)
+    assert {r.id: r.component_id for r in got if r.id is not None} == want
+
+
+def test_query_on_the_test_table(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got = QUERIES["op3_jaccard_count_tree"](spark, SF).withColumnRenamed("doc_id", "id").collect()
+    check(got, rows)
+    assert len({r.component_id for r in got}) < len(rows)
+
+
+def variants(seed, n_base, n_copies):
+    """Copies with few and many changes, so that pairs fall on both sides of the limit, and chains of links."""
+    rng, rows = random.Random(seed), []
+    common = [f"c{i}" for i in range(47)]
+    for b in range(n_base):
+        words = [f"w{rng.randrange(400)}" for _ in range(rng.choice([3, 5, 9, 14, 40, 90, 300]))]
+        if b % 3 == 0:
+            words = words[: len(words) // 2] + common + words[len(words) // 2 :]
+        for _ in range(n_copies):
+            words = list(words)
+            for _ in range(rng.choice([0, 0, 1, 1, 2, max(1, len(words) // 40)])):
+                words[rng.randrange(len(words))] = f"n{rng.randrange(10**6)}"
+            if rng.random() < 0.2:
+                words += [f"t{rng.randrange(10**6)}" for _ in range(max(1, len(words) // 12))]
+            rows.append((len(rows), " ".join(words)))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_copies_and_common_passages(spark, seed, monkeypatch):
+    monkeypatch.setattr(jaccard, "NODE_ROWS", 3)
+    monkeypatch.setattr(jaccard, "VERIFY_ROWS", 2)
+    rows = variants(seed, 25, 12)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = jaccard.classes(df).collect()
+    check(got, rows)
+    assert 25 < len({r.component_id for r in got}) < len(rows)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 900), st.integers(0, 10**6), st.sampled_from([60, 80, 85, 95]))
+def test_linked_sets_share_a_leaf(n, seed, percent):
+    rng = np.random.default_rng(seed)
+    kinds = jaccard.Classes(percent)
+    a = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+    gone = int(rng.integers(0, 2 + n * (100 - percent) // 100))
+    b = np.concatenate((a[gone:], rng.integers(0, 1 << 64, int(rng.integers(0, gone + 2)), dtype=np.uint64)))
+    a, b = np.unique(a), np.unique(b)
+    if len(b) and jaccard.linked(a, b, percent) and not np.array_equal(a, b):
+        values, rows = np.concatenate((a, b)), np.repeat([0, 1], [len(a), len(b)])
+        leaf, row = jaccard.leaves(values, rows, 2, kinds)
+        assert set(leaf[row == 0].tolist()) & set(leaf[row == 1].tolist())
+
+
+def test_empty_blocks_meet_when_nothing_else_does():
+    """Sets crowded into few blocks have too many empty ones; these are sent as well."""
+    kinds = jaccard.Classes(85)
+    crowd = np.arange(100, dtype=np.uint64)
+    leaf, row = jaccard.leaves(np.concatenate((crowd, crowd[1:])), np.repeat([0, 1], [100, 99]), 2, kinds)
+    assert set(leaf[row == 0].tolist()) & set(leaf[row == 1].tolist())
+
+
+def test_bound_is_never_below_the_overlap():
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        a, b = (np.unique(rng.integers(0, 500, 300, dtype=np.uint64)) for _ in range(2))
+        counts = jaccard._counts(np.concatenate((a, b)), np.repeat([0, 1], [len(a), len(b)]), 2)
+        assert np.minimum(*counts).sum() >= len(np.intersect1d(a, b))
+
+
+def test_cases(spark):
+    long = " ".join(f"x{i}" for i in range(40_000))
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "One two"), (5, "one  TWO"), (6, "two one"), (7, long), (8, long + " end"), (9, "É a b c"), (10, "é a b c"), (11, long), (11, long), (12, "One two"), (12, None), (None, long), (None, "one two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS id", "2 AS n", "'x' AS leaf", "3 AS row")
+    got = jaccard.classes(df).collect()
+    by = {r.id: r.component_id for r in got if r.id is not None}
+    assert by == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7, 8: 7, 9: 9, 10: 10, 11: 7, 12: 4}
+    assert [r.component_id for r in got if r.id is None] == [None, None]
+    assert sorted(r.n_shingles for r in got if r.id in (1, 2, 4, 12)) == [0, 0, 0, 1, 1]
+    kept = jaccard.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 6, 7, 9, 10]
+    assert jaccard.classes(df.limit(0)).count() == 0 and jaccard.keep_first(df.limit(0)).count() == 0
+
+
+def test_components_of_chains_stars_and_rings(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(300, 301), (301, 302), (302, 300), (5, 5)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert got == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in [7, *range(200, 260)]}, 300: 300, 301: 300, 302: 300}
