@@ -29,6 +29,8 @@ PARTS = 10_000
 BLOCK = 100_000
 #: Rows in a slice, on average.
 SLICE_ROWS = 20_000
+#: Slices at least, so that a hot source is spread however small the table.
+SLICES = 256
 
 
 def source_key(source: Column) -> Column:
@@ -82,7 +84,7 @@ def _schedule(spark: SparkSession, parts: dict[str, int]) -> DataFrame:
 def interleave(df: DataFrame, parts: dict[str, int], source: str, size: Column, order: list[str], block: int = BLOCK) -> DataFrame:
     """The table with two more columns: the block of its source that each row is in, and that block's slot in the mixture."""
     spark, total = df.sparkSession, sum(parts.values())
-    slices = 1 + df.count() // SLICE_ROWS
+    slices = max(SLICES, df.count() // SLICE_ROWS)
     block_name, slot_name = spare_name(df, "block"), spare_name(df, "slot")
     mixed = F.xxhash64(*[F.col(f"`{c}`") for c in order])
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), source_key(F.col(f"`{source}`")).alias("key"), F.coalesce(size, F.lit(0)).cast("long").alias("size"), mixed.alias("h"))

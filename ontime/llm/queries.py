@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import jaccard, mixing, pii, quality, urls, warc
+from ontime.llm import jaccard, mixing, neardup, pii, quality, urls, warc
 from ontime.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,12 @@ def op4_mix_sources(spark, sf_dir):
     return mixing.interleave(docs, parts, "source", F.col("chars"), ["doc_id"])
 
 
+@query()
+def op5_collision_counting(spark, sf_dir):
+    found = neardup.classes(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 #: Host, path and verdict of the written rules.
 URL_RULES = [
     ("com", "/", "allow"),

@@ -57,7 +57,7 @@ def test_query_against_a_plain_run(spark):
         sizes["=" + s] += n
     parts = mixing.whole_parts({k: n**0.5 for k, n in sizes.items()})
     hashed = {r.doc_id: (r.h, r.doc_id) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
-    slices = 1 + len(docs) // mixing.SLICE_ROWS
+    slices = max(mixing.SLICES, len(docs) // mixing.SLICE_ROWS)
     order = sorted(docs, key=lambda d: (hashed[d][0] % slices, hashed[d]))
     want = plain_slots([("=" + docs[d][0], docs[d][1]) for d in order], parts, mixing.BLOCK)
     assert {r.doc_id: (r.block, r.slot) for r in got} == dict(zip(order, want))
