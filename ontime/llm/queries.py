@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import jaccard, mixing, neardup, pii, quality, urls, warc
+from ontime.llm import jaccard, mixing, neardup, pii, quality, suffix, urls, warc
 from ontime.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,11 @@ def op5_collision_counting(spark, sf_dir):
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+@query()
+def op6_suffix_induced(spark, sf_dir):
+    return suffix.remove_repeats(table(spark, sf_dir, "documents")).drop("spans").withColumnRenamed("id", "doc_id")
+
+
 #: Host, path and verdict of the written rules.
 URL_RULES = [
     ("com", "/", "allow"),
