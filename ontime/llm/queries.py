@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import jaccard, mixing, neardup, pii, quality, suffix, urls, warc
+from ontime.llm import jaccard, licenses, mixing, neardup, packing, pii, quality, suffix, urls, warc
 from ontime.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,26 @@ def op6_suffix_induced(spark, sf_dir):
     return suffix.remove_repeats(table(spark, sf_dir, "documents")).drop("spans").withColumnRenamed("id", "doc_id")
 
 
+@query()
+def op7_license_dice(spark, sf_dir):
+    found = table(spark, sf_dir, "documents").select("doc_id", licenses.scan("text").alias("m"))
+    names = F.array_sort(F.array_distinct("m.license"))
+    return found.select("doc_id", F.size("m").cast("long").alias("n_matches"), F.concat_ws(",", names).alias("licenses"), F.array_max("m.dice").alias("best_dice"))
+
+
+def pack_documents(docs: DataFrame) -> DataFrame:
+    """With the public byte-level vocabulary, in both of its forms."""
+    import public_tokenizers as public
+
+    packed = packing.pack(docs, public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+    return packed.withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op8_pack_islands(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 #: Host, path and verdict of the written rules.
 URL_RULES = [
     ("com", "/", "allow"),

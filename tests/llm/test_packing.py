@@ -1,0 +1,106 @@
+"""Packing: ids of the reference tokeniser, every piece once, no overlap, and few sequences."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers as public
+import pytest
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from ontime.llm import packing
+from ontime.llm.queries import QUERIES, pack_documents
+
+SF = "/root/testdata/sf0.01"
+LOADED = packing.tokenizers_at(public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+REFERENCE = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+
+
+def ids(text):
+    return REFERENCE.encode(text or "", add_special_tokens=False).ids + [0]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.text(max_size=200), st.text(" \n\tab'é<|endoftx>0123", max_size=200)))
+def test_ids_are_the_reference_ones(text):
+    assert packing.token_ids(text, LOADED).tolist() == ids(text)
+
+
+@pytest.mark.parametrize("text", ["<|endoftext|>", "a <|endoftext|> b", " " * 300_000, "x" * 150_000, "é" * 120_000 + " end"])
+def test_odd_texts_have_the_reference_ids(text):
+    assert packing.token_ids(text, LOADED).tolist() == ids(text)
+
+
+def check(rows, texts):
+    """rows: packed pieces; texts: (id, text) of each input row."""
+    pieces, places = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r.doc_id].append(r)
+        places[r.sequence_id].append((r.offset, r.length))
+    want = defaultdict(list)
+    for i, t in texts:
+        all_ids = np.array(ids(t), "<u4")
+        first = len(all_ids) % 2048 or 2048 if len(all_ids) > 2048 else len(all_ids)
+        starts = [0, *range(first, len(all_ids), 2048)]
+        want[i] += [(k, a, b - a, zlib.crc32(all_ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(all_ids)]))]
+    assert {i: sorted((r.piece, r.start, r.length, r.ids_crc32) for r in p) for i, p in pieces.items()} == {i: sorted(w) for i, w in want.items()}
+    for spans in places.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    return len(places), -(-sum(r.length for r in rows) // 2048)
+
+
+def test_query_on_the_test_table(spark):
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    used, least = check(QUERIES["op8_pack_islands"](spark, SF).collect(), texts)
+    assert used <= least + 1
+
+
+def test_several_shards_and_levels(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 100)
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    used, least = check(QUERIES["op8_pack_islands"](spark, SF).collect(), texts)
+    assert used <= least + 3
+
+
+def test_cases(spark):
+    rows = [(1, None), (2, ""), (2, ""), (None, "word " * 5000), (3, "word " * 2047), (4, "word " * 2046), (5, "x"), (5, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS item", "2 AS piece", "'i' AS id")
+    used, least = check(pack_documents(df).collect(), rows)
+    assert used == least
+    assert pack_documents(df.limit(0)).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=40), st.integers(0, 99))
+def test_breeding_keeps_every_piece_and_never_gets_worse(sizes, seed):
+    rng = np.random.default_rng(seed)
+    start = packing.best_fit(list(range(len(sizes))), sizes, 30)
+    other = packing.best_fit(list(range(len(sizes)))[::-1], sizes, 30)
+    child = packing.crossover(start, other, sizes, 30, rng)
+    best = packing.breed(sizes, 30, rng, [start, other])
+    for bins in (start, other, child, best):
+        assert sorted(i for b in bins for i in b) == list(range(len(sizes)))
+        assert all(0 < sum(sizes[i] for i in b) <= 30 for b in bins)
+    assert packing.least_bins(sizes, 30) <= len(best) <= min(len(start), len(other))
+
+
+def test_breeding_beats_best_fit_where_that_fails():
+    """Pairs and triples that fill bins exactly, which best fit by size misses."""
+    rng = np.random.default_rng(4)
+    sizes = []
+    for _ in range(60):
+        a, b = sorted(rng.choice(np.arange(200, 1800), 2, replace=False).tolist())
+        sizes += [a, b - a, 2048 - b]
+    plain = packing.best_fit(sorted(range(len(sizes)), key=lambda i: -sizes[i]), sizes, 2048)
+    best = min((packing.breed(sizes, 2048, np.random.default_rng(s), []) for s in range(5)), key=len)
+    assert len(best) <= len(plain)
+
+
+def test_cuts():
+    assert packing.cuts(1) == [(0, 1)] and packing.cuts(2048) == [(0, 2048)] and packing.cuts(4096) == [(0, 2048), (2048, 2048)]
+    assert packing.cuts(2049) == [(0, 1), (1, 2048)]
