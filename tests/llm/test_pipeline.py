@@ -1,0 +1,94 @@
+"""The pipeline stage by stage against brute force, each on what the one before kept."""
+
+import corpus_pipeline
+from ontime.llm import mixing, pii
+from tests.llm import test_jaccard, test_packing, test_pii, test_quality
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_stages(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, before = docs.columns, docs.collect()
+    models = {}
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(str(tmp_path / str(number)))
+        made = spark.read.parquet(str(tmp_path / str(number)))
+        after = made.collect()
+        if name == "packing":
+            used, least = test_packing.check(after, [(r.doc_id, r.text) for r in before])
+            assert used <= least + 1
+            break
+        assert made.columns == columns
+        if name == "quality":
+            want = [r for r in before if test_quality.plain(r.text)[0][-1]]
+        elif name == "near-duplicates":
+            want = [r for r in before if r.doc_id == plain_first(before)[r.doc_id]]
+        elif name == "personal-data":
+            models["field"] = pii.fit(docs)
+            spans = {r.doc_id: pii.find(r.text, models["field"]) for r in before}
+            assert all(sorted(b) == sorted(test_pii.plain(r.text)) for r in before for b in [spans[r.doc_id][0]])
+            assert any(s[0] for s in spans.values())
+            want = [type(r)(**{**r.asDict(), "text": pii.masked(r.text, spans[r.doc_id][1])}) for r in before]
+        else:
+            want = before
+            parts = mixing.tempered_weights(docs, "source", _length())
+            slots = {r.doc_id: r.slot for r in mixing.interleave(docs, parts, "source", _length(), ["doc_id"]).collect()}
+            # Files are ranges of slots, each in order.
+            assert [slots[r.doc_id] for r in made.sort("doc_id").collect()] == [slots[r.doc_id] for r in sorted(before, key=lambda r: r.doc_id)]
+            ordered = [slots[r.doc_id] for r in after]
+            assert sum(a > b for a, b in zip(ordered, ordered[1:])) <= made.rdd.getNumPartitions()
+        assert sorted(after) == sorted(want), name
+        if name in ("quality", "near-duplicates"):
+            assert 0 < len(after) < len(before)
+        docs, before = made, after
+
+
+def _length():
+    from pyspark.sql import functions as F
+
+    return F.length("text")
+
+
+CACHE = {}
+
+
+def plain_first(rows):
+    key = len(rows)
+    if key not in CACHE:
+        sets = [(r.doc_id, test_jaccard.plain_set(r.text, 5)) for r in rows]
+        root = {i: i for i, _ in sets}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for k, (i, a) in enumerate(sets):
+            for j, b in sets[:k]:
+                if a and b and 100 * min(len(a), len(b)) >= 80 * max(len(a), len(b)) and 100 * len(a & b) >= 80 * len(a | b):
+                    x, y = sorted((find(i), find(j)))
+                    root[y] = x
+        CACHE[key] = {i: find(i) for i in root}
+    return CACHE[key]
+
+
+def test_run_gives_the_last_stage(spark):
+    got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert 0 < got.select("doc_id").distinct().count() <= 200
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    """Nulls, repeated rows, an empty table, and columns that share names with those the stages make."""
+    good = " ".join(f"w{i}" for i in range(120)) + " mail a.b@example.com"
+    rows = [(1, None, None), (2, "", "s"), (3, good, None), (3, good, None), (4, good, "s"), (None, good + " x", None), (5, good[::-1], "s"), (6, "a b " * 60, "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "'en' AS lang", "1L AS n_chars", "2 AS slot", "3 AS block", "4 AS id", "5 AS n", "'q' AS quality")
+    for table, want in ((df, {3, None, 5}), (df.limit(0), set())):
+        for name, stage in corpus_pipeline.STAGES:
+            path = str(tmp_path / f"{name}-{len(want)}")
+            stage(spark, table, SF).write.parquet(path)
+            table = spark.read.parquet(path)
+            if name == "personal-data" and want:
+                assert all("<EMAIL>" in r.text for r in table.where("doc_id = 3").collect())
+        assert {r.doc_id for r in table.collect()} == want
