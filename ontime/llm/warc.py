@@ -81,9 +81,8 @@ def write(df: DataFrame, path: str, id: str, url: str, html: str, date: str = DA
     })
     typed.select("id", "address", "bytes", "record_id", "first_id", _header(date).alias("header")).write.parquet(f"{path}/headers")
 
-    wanted = firsts.select("address", F.col("first_id").alias("id"))
-    same = pages["address"].eqNullSafe(wanted["address"]) & pages["id"].eqNullSafe(wanted["id"])
-    pages.join(wanted, same, "left_semi").select("address", "payload").dropDuplicates(["address"]).write.parquet(f"{path}/payloads")
+    # Any payload of an address will do. Copies go map-side, so each payload moves once for each task that holds it.
+    pages.select("address", "payload").dropDuplicates(["address"]).write.parquet(f"{path}/payloads")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
