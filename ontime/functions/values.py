@@ -78,6 +78,12 @@ def weekday_name(date: Column) -> Column:
     return F.get(F.array(*[F.lit(d) for d in WEEKDAYS]), F.weekday(date))
 
 
+def known(field: T.StructField) -> Column:
+    """The value in its own type, NaN as null."""
+    c = F.col(f"`{field.name}`")
+    return F.nanvl(c, F.lit(None).cast(field.dataType)) if isinstance(field.dataType, FLOATS) else c
+
+
 def missing(field: T.StructField) -> Column:
     """True where the value is null, or NaN for floating-point columns."""
     c = F.col(f"`{field.name}`")
@@ -92,12 +98,14 @@ def key_text(columns: list[str]) -> Column:
     """One text key out of several columns; stable across runs, partitionings and engines.
 
     Nulls are written as \\N and separators in the values are escaped, so different rows never share a key.
-    A single column is its own key.
+    A single column is its own key; only a null, and a text that reads like one, are written otherwise.
     """
+    null = F.lit("\\N")
     if len(columns) == 1:
-        return F.col(columns[0]).cast("string")
+        text = F.col(columns[0]).cast("string")
+        return F.when(text.isNull(), null).when(text == null, F.lit("\\\\N")).otherwise(text)
     parts = [
-        F.coalesce(F.replace(F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("-"), F.lit("\\-")), F.lit("\\N"))
+        F.coalesce(F.replace(F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("-"), F.lit("\\-")), null)
         for c in columns
     ]
     return F.concat_ws("-", *parts)

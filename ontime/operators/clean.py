@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ontime.functions.values import calendar_date, key_text, number, total, weekday_name
+from ontime.functions.values import calendar_date, key_text, known, number, total, weekday_name
 from ontime.schema import CANCEL_REASONS, CAUSES, CLEAN_NAMES, RENAMES, ZERO_FILLED
 
 
@@ -15,7 +16,8 @@ def fill_nulls(df: DataFrame, value: float, columns: list[str]) -> DataFrame:
 
 
 def filter_known(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNotNull())
+    """Rows where the column holds a value; NaN is none."""
+    return df.filter(known(df.schema[column]).isNotNull())
 
 
 def date_parts(df: DataFrame, column: str = "FL_DATE") -> DataFrame:
@@ -46,6 +48,9 @@ def clean(df: DataFrame, variant: str = "v3", keep: list[str] | None = None) ->
     """
     if variant not in ("v1", "v3"):
         raise ValueError(f"unknown variant {variant!r}")
+    if variant == "v3":
+        # Said of the raw column too, so that Parquet can skip row groups without a value.
+        df = df.filter(F.col("CRS_DEP_TIME").isNotNull())
     causes = [F.coalesce(number(c), F.lit(0.0)) for c in CAUSES]
     measures = ["CRS_DEP_TIME", "DEP_DELAY", "TAXI_OUT", "TAXI_IN", "DISTANCE", "ARR_DELAY"]
     renamed = date_parts(df).withColumnsRenamed(RENAMES)
@@ -76,6 +81,25 @@ def drop_duplicates(df: DataFrame, columns: list[str] | None = None) -> DataFram
     return (df.select(*columns) if columns else df).distinct()
 
 
+def first_per_key(df: DataFrame, key: list[str]) -> DataFrame:
+    """One whole row per key: the one whose other columns come first in order, whatever the order of rows.
+
+    A grouped minimum, so copies shrink before the shuffle.
+    """
+    rest = [c for c in df.columns if c not in key]
+    if not rest:
+        return df.distinct()
+    least = F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_least")
+    kept = df.groupBy(*key).agg(least)
+    return kept.select(*[F.col("_least")[c].alias(c) if c in rest else F.col(f"`{c}`") for c in df.columns])
+
+
+def constant_table(spark: SparkSession, rows: list[tuple], columns: list[str], kinds: list[str] | None = None) -> DataFrame:
+    """A few fixed rows as an inline relation, whose size Spark knows when it plans a join."""
+    types = [getattr(pa, k)() for k in kinds or ["string"] * len(columns)]
+    return spark.createDataFrame(pa.table({c: pa.array([r[i] for r in rows], types[i]) for i, c in enumerate(columns)}))
+
+
 def union_by_name(parts: list[DataFrame]) -> DataFrame:
     """All rows of all parts, matched by column name; a column one part lacks is null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

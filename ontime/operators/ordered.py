@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ontime.functions.values import real
+from ontime.schema import exact_columns
 from ontime.session import durable
 
 
@@ -61,7 +62,9 @@ def value_ranks(df: DataFrame, by: list[str], value: str) -> DataFrame:
     A null value stays as a row with ``known`` 0, so groups without any known value are not lost.
     Counting equal values first happens map-side: a hot group shrinks before any shuffle.
     """
-    df = df.select(*by, real(value).alias(value))
+    # In its own type: a double would merge large whole numbers and decimals.
+    exact = value in exact_columns(df.schema)
+    df = df.select(*by, (F.col(value) if exact else real(value)).alias(value))
     counts = df.groupBy(*by, value).agg(F.count("*").alias("n"), F.count(value).alias("known"))
     return running_totals(counts, by, [F.col(value)], ["known"])
 

@@ -1,13 +1,15 @@
-"""Counts, frequencies and statistics; each one aggregate over the table, whatever its width."""
+"""Counts, frequencies and statistics; few aggregates over the table, whatever its width."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ontime.functions.stats import equal_width_bin
-from ontime.functions.values import convert_known, known_text, missing, real
+from ontime.functions.values import convert_known, known, known_text, missing, real
 from ontime.operators.ordered import pick_quantiles, value_ranks
-from ontime.schema import REPORT_CATEGORIES, REPORT_FLAGS, REPORT_MEASURES, categorical_columns, numeric_columns
+from ontime.schema import REPORT_CATEGORIES, REPORT_FLAGS, REPORT_MEASURES, categorical_columns, exact_columns, numeric_columns
 
 
 def long_rows(df: DataFrame, by: list[str], rows: list[list[Column]]) -> DataFrame:
@@ -25,7 +27,7 @@ def tall(df: DataFrame, by: list[str], columns: list[str], kind: str) -> DataFra
     """
     # The array is a projection of its own: as an argument of the generator it would be interpreted.
     # It is never empty; the outer form only keeps Spark from filtering on its size, which computes it twice.
-    values = F.array(*[real(f"`{c}`") if kind == "double" else F.col(f"`{c}`").cast(kind) for c in columns])
+    values = F.array(*[real(f"`{c}`") if kind == "double" else known(df.schema[c]).cast(kind) for c in columns])
     return df.select(*by, values.alias("_values")).select(*by, F.posexplode_outer("_values").alias("_at", "value"))
 
 
@@ -69,12 +71,12 @@ def top_values(df: DataFrame, columns: list[str] | None = None, n: int = 15) ->
 
 def share(df: DataFrame, by: str, flag: str) -> DataFrame:
     """Count and fraction of each flag value inside each group."""
-    counts = df.groupBy(by, flag).agg(F.count("*").alias("n"))
+    counts = df.groupBy(by, known(df.schema[flag]).alias(flag)).agg(F.count("*").alias("n"))
     return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(by)))
 
 
 def known_counts(df: DataFrame, by: str, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNotNull()).groupBy(by, column).agg(F.count("*").alias("n"))
+    return df.filter(known(df.schema[column]).isNotNull()).groupBy(by, column).agg(F.count("*").alias("n"))
 
 
 def distinct_counts(df: DataFrame, by: list[str], columns: list[str], approximate: bool = False) -> DataFrame:
@@ -84,7 +86,7 @@ def distinct_counts(df: DataFrame, by: list[str], columns: list[str], approximat
     group has most rows. ``approximate`` keeps a fixed-size sketch per column instead.
     """
     if approximate:
-        rows = [[F.lit(c).alias("column"), F.approx_count_distinct(c).alias("n_distinct")] for c in columns]
+        rows = [[F.lit(c).alias("column"), F.approx_count_distinct(known(df.schema[c])).alias("n_distinct")] for c in columns]
         return long_rows(df, by, rows)
     return frequencies(df, columns, by).groupBy(*by, "column").agg(F.count("value").alias("n_distinct"))
 
@@ -119,18 +121,27 @@ def year_report(df: DataFrame, by: str = "year") -> DataFrame:
     rows = F.when(F.col("_at") == 0, F.array(cell("rows", F.lit("*"), "count"))).otherwise(F.slice(cells, 1, 0))
     statistics = stats.select(by, F.inline(F.concat(cells, rows)))
 
-    distincts = distinct_counts(df, [by], REPORT_CATEGORIES).select(
-        by, F.lit("distinct").alias("section"), "column", F.lit("count").alias("item"), F.col("n_distinct").cast("double").alias("value")
-    )
-    flags = frequencies(df, REPORT_FLAGS, [by]).select(
-        by, F.lit("flag").alias("section"), "column", F.col("value").alias("item"), F.col("n").cast("double").alias("value")
+    # Distinct values and flag counts come from one frequency pass: per column either one cell, or one for each value.
+    both = [*REPORT_CATEGORIES, *[c for c in REPORT_FLAGS if c not in REPORT_CATEGORIES]]
+    counts = frequencies(df, both, [by])
+    as_flag = F.col("column").isin(REPORT_FLAGS)
+    entry = lambda section, item, value: F.struct(F.lit(section).alias("section"), item.alias("item"), value.cast("double").alias("value"))
+    # Grouped by (column, value) no more than once: a flag's value keeps its row, a category's values become a count.
+    sections = F.concat(
+        F.when(F.col("column").isin(REPORT_CATEGORIES), F.array(entry("distinct", F.lit("count"), F.when(F.col("value").isNotNull(), 1).otherwise(0)))).otherwise(F.array().cast("array<struct<section:string,item:string,value:double>>")),
+        F.when(as_flag, F.array(entry("flag", F.col("value"), F.col("n")))).otherwise(F.array().cast("array<struct<section:string,item:string,value:double>>")),
     )
-    return statistics.unionByName(distincts).unionByName(flags)
+    cells = counts.select(by, "column", F.inline(sections))
+    counted = cells.groupBy(by, "section", "column", "item").agg(F.sum("value").alias("value")).select(by, "section", "column", "item", "value")
+    return statistics.unionByName(counted)
 
 
 def describe_table(df: DataFrame) -> DataFrame:
-    """Count, mean, sample deviation and range of every column; text columns have a text range."""
-    numbers = numeric_columns(df.schema)
+    """Count, mean, sample deviation and range of every column.
+
+    Text columns have a text range; so have decimals and whole numbers, since a double may not hold theirs exactly.
+    """
+    numbers, exact = numeric_columns(df.schema), exact_columns(df.schema)
     texts = [c for c in df.columns if c not in numbers]
     nothing, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
     parts = []
@@ -142,7 +153,16 @@ def describe_table(df: DataFrame) -> DataFrame:
             F.min("value").alias("min"),
             F.max("value").alias("max"),
         )
-        parts.append(named(stats, numbers).withColumns({"min_text": no_text, "max_text": no_text}))
+        stats = named(stats, numbers)
+        if exact:
+            # The ranges, in each column's own type, are plain totals of the same table.
+            ends = F.struct(*[F.struct(F.min(f"`{c}`").cast("string").alias("lo"), F.max(f"`{c}`").cast("string").alias("hi")).alias(f"c{i}") for i, c in enumerate(exact)])
+            ranges = df.agg(ends.alias("ranges")).scalar()
+            stats = stats.withColumn("_r", ranges)
+            pick = lambda side: reduce(lambda w, ic: w.when(F.col("column") == ic[1], F.col("_r")[f"c{ic[0]}"][side]), enumerate(exact), F)
+            parts.append(stats.withColumns({"min_text": pick("lo"), "max_text": pick("hi")}).drop("_r"))
+        else:
+            parts.append(stats.withColumns({"min_text": no_text, "max_text": no_text}))
     if texts:
         # Ranges of text in a grouped aggregate would sort every value, so these are plain totals.
         rows = [

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ontime.functions.stats import equal_width_bin, intercept, pearson, slope
 from ontime.functions.values import real
@@ -15,40 +17,66 @@ from ontime.schema import numeric_columns
 def correlations(df: DataFrame, columns: list[str] | None = None, nulls: str = "zero") -> DataFrame:
     """The Pearson matrix in long form (col_x, col_y, corr); null where a column is constant.
 
-    ``nulls="zero"`` counts missing values as zero; ``"pairwise"`` uses the rows where both are known.
+    ``nulls="zero"`` counts missing values as zero; ``"pairwise"`` uses the rows where both are known. Each batch of rows becomes one
+    small row of cross products, around a centre near the data; these are added up. Nothing runs before the result is used.
     """
     columns = columns or numeric_columns(df.schema)
-    if nulls == "zero":
-        return _filled_matrix(df, columns)
-    if nulls != "pairwise":
+    if nulls not in ("zero", "pairwise"):
         raise ValueError(f"unknown null rule {nulls!r}")
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    at = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])
-    values = F.array(*[real(c) for c in columns])
-    # Tall rows, one per pair, end in the map-side aggregate; see profile.tall.
-    crossed = df.select(values.alias("v")).select("v", F.explode_outer(at).alias("p"))
-    crossed = crossed.select("p", F.get("v", F.col("p.i")).alias("x"), F.get("v", F.col("p.j")).alias("y"))
-    known = crossed.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    half = known.groupBy("p").agg(pearson(F.col("x"), F.col("y")).alias("corr"))
+    k = len(columns)
+    filled = nulls == "zero"
+    values = df.select(*[(F.coalesce(real(c), F.lit(0.0)) if filled else real(c)).alias(f"c{i}") for i, c in enumerate(columns)])
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each pair: rows with both, their means, and the centred sums of squares and products; merged batch by batch."""
+        n, mx, my, xx, yy, xy = (np.zeros((k, k)) for _ in range(6))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            data = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
+            here = ~np.isnan(data)
+            mask = here.astype(np.float64)
+            # Around the batch's own means, so that large values do not swallow small differences.
+            centre = np.where(here.any(0), np.nansum(data, 0) / np.maximum(here.sum(0), 1), 0.0)
+            data = np.where(here, data - centre, 0.0)
+            m, sx, sy = mask.T @ mask, data.T @ mask, mask.T @ data
+            many = np.maximum(m, 1)
+            ax, ay = sx / many, sy / many
+            bxx = (data * data).T @ mask - sx * ax
+            byy = mask.T @ (data * data) - sy * ay
+            bxy = data.T @ data - sx * ay
+            ax, ay = ax + centre[:, None], ay + centre[None, :]
+            # Two parts with their means and centred sums become one (Chan, Golub and LeVeque).
+            both = np.maximum(n + m, 1)
+            dx, dy, w = ax - mx, ay - my, n * m / both
+            xx, yy, xy = xx + bxx + dx * dx * w, yy + byy + dy * dy * w, xy + bxy + dx * dy * w
+            mx, my, n = mx + dx * m / both, my + dy * m / both, n + m
+        if n.any():
+            cells = [pa.array([x.ravel().tolist()], pa.list_(pa.float64())) for x in (n, mx, my, xx, yy, xy)]
+            yield pa.RecordBatch.from_arrays(cells, names=_PARTS)
+
+    parts = values.mapInArrow(products, ", ".join(f"{p} array<double>" for p in _PARTS))
+    # One row for each partition and pair, added up map-side in the same way, in plain sums around a common centre.
+    at = F.posexplode(F.arrays_zip(*_PARTS)).alias("p", "s")
+    cells = parts.select(at).select("p", "s.*").filter("n > 0")
+    centre = Window.partitionBy("p")
+    total = F.sum("n").over(centre)
+    cells = cells.withColumns({"gx": F.sum(F.col("mx") * F.col("n")).over(centre) / total, "gy": F.sum(F.col("my") * F.col("n")).over(centre) / total})
+    dx, dy = F.col("mx") - F.col("gx"), F.col("my") - F.col("gy")
+    sums = cells.groupBy("p").agg(
+        F.sum(F.col("xx") + F.col("n") * dx * dx).alias("xx"), F.sum(F.col("yy") + F.col("n") * dy * dy).alias("yy"),
+        F.sum(F.col("xy") + F.col("n") * dx * dy).alias("xy"), F.sum("n").alias("n"), F.max(F.greatest(F.abs("gx"), F.abs("gy"))).alias("size"),
+    )
+    # A constant column leaves only rounding in its sum of squares.
+    noise = F.col("n") * F.pow(F.col("size") * 1e-14, F.lit(2.0))
+    spread = (F.col("xx") > noise) & (F.col("yy") > noise)
+    corr = F.when(spread, F.col("xy") / F.sqrt(F.col("xx")) / F.sqrt(F.col("yy")))
     names = F.array(*[F.lit(c) for c in columns])
-    x, y = F.get(names, F.col("p.i")), F.get(names, F.col("p.j"))
-    # Each pair in both directions; a column with itself once.
-    both = F.array(F.struct(x.alias("col_x"), y.alias("col_y")), F.struct(y.alias("col_x"), x.alias("col_y")))
-    sides = F.when(F.col("p.i") == F.col("p.j"), F.slice(both, 1, 1)).otherwise(both)
-    return half.select("corr", F.inline(sides)).select("col_x", "col_y", "corr")
-
-
-def _filled_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The matrix has columns x columns cells whatever the number of rows, so it may pass the driver."""
-    filled = df.select(*[F.coalesce(real(c), F.lit(0.0)).alias(c) for c in columns])
-    vectors = VectorAssembler(inputCols=columns, outputCol="v", handleInvalid="skip").transform(filled).select("v")
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-    cells = [
-        (x, y, float(matrix[i, j]) if matrix[i, j] == matrix[i, j] else None)
-        for i, x in enumerate(columns)
-        for j, y in enumerate(columns)
-    ]
-    return df.sparkSession.createDataFrame(cells, "col_x string, col_y string, corr double")
+    x, y = F.get(names, F.floor(F.col("p") / k).cast("int")), F.get(names, F.col("p") % k)
+    return sums.select(x.alias("col_x"), y.alias("col_y"), F.when(corr.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), corr))).alias("corr"))
+
+
+_PARTS = ["n", "mx", "my", "xx", "yy", "xy"]
 
 
 def strongest(matrix: DataFrame, n: int = 10) -> DataFrame:

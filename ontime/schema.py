@@ -141,23 +141,26 @@ MESSAGE = _struct(
     + [(n, "bigint" if n in ("delayed", "cancelled", "diverted") else k) for n, k in CLEAN_COLUMNS]
 )
 
-PREDICTION = _struct(
-    [
-        ("event_id", "string"),
-        ("origin_airport", "string"),
-        ("destination_airport", "string"),
-        ("cancelled_prediction", "double"),
-        ("cancelled_probability", "array<double>"),
-        ("diverted_prediction", "double"),
-        ("diverted_probability", "array<double>"),
-    ]
-)
+ROUTE = [("event_id", "string"), ("event_time", "timestamp"), ("origin_airport", "string"), ("destination_airport", "string")]
+
+
+def prediction_layout(targets: list[str]) -> T.StructType:
+    """What scoring returns for these targets: the event, its time and route, and two columns per target."""
+    return _struct(ROUTE + [c for t in targets for c in ((f"{t}_prediction", "double"), (f"{t}_probability", "array<double>"))])
+
+
+PREDICTION = prediction_layout(["cancelled", "diverted"])
 
 
 def numeric_columns(schema: T.StructType) -> list[str]:
-    """Names of the int, bigint, float and double columns."""
-    kinds = (T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
-    return [f.name for f in schema.fields if isinstance(f.dataType, kinds)]
+    """Names of the whole-number, decimal, float and double columns."""
+    return [f.name for f in schema.fields if isinstance(f.dataType, T.NumericType)]
+
+
+def exact_columns(schema: T.StructType) -> list[str]:
+    """Names of the numeric columns whose values a double may not hold."""
+    kinds = (T.FloatType, T.DoubleType)
+    return [f.name for f in schema.fields if isinstance(f.dataType, T.NumericType) and not isinstance(f.dataType, kinds)]
 
 
 def categorical_columns(schema: T.StructType) -> list[str]:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import csv as csv_module
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ontime.functions.values import convert
-from ontime.operators.clean import union_by_name
+from ontime.operators.clean import constant_table, union_by_name
 from ontime.schema import RAW
 from ontime.session import WIDE_STAGES, settings
 
@@ -20,7 +23,37 @@ def list_files(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataFr
 
 
 def _reader(spark: SparkSession, pattern: str = PATTERN):
-    return spark.read.option("header", True).option("pathGlobFilter", pattern)
+    """Quotes inside quoted cells are doubled, as every usual writer does."""
+    return spark.read.option("header", True).option("pathGlobFilter", pattern).option("quote", '"').option("escape", '"')
+
+
+def headers(spark: SparkSession, paths: list[str], threads: int = 16) -> list[tuple[str, list[str] | None, str | None]]:
+    """(path, header, reason) of every file: the cells of its first line, or why they can't be read.
+
+    Only the first line of each file is fetched, through Spark's own file systems, so remote and compressed files work.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first(path: str) -> tuple[str, list[str] | None, str | None]:
+        try:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            stream = place.getFileSystem(conf).open(place)
+            try:
+                codec = codecs.getCodec(place)
+                text = codec.createInputStream(stream) if codec else stream
+                line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8")).readLine()
+            finally:
+                stream.close()
+        except Exception as error:  # the reason is part of the report
+            cause = getattr(error, "java_exception", None)
+            return path, None, str(cause.toString() if cause else error).splitlines()[0]
+        if not line:
+            return path, None, "no header line"
+        return path, next(csv_module.reader([line.removeprefix("\ufeff")])), None
+
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(first, paths))
 
 
 def read_text(
@@ -29,34 +62,53 @@ def read_text(
     columns: list[str] | None = None,
     pattern: str = PATTERN,
     skip_unreadable: bool = False,
+    multi_line: bool = False,
+    file_column: str | None = None,
 ) -> DataFrame:
-    """One CSV data set (a file, or a folder of files with one header) with every column as text.
+    """One CSV data set (a file, or a folder of files) with every column as text.
 
-    ``columns`` names the cells of files that have no header line.
+    Files of one folder may differ in their headers: each distinct header is one scan, and columns are matched by name; one that a
+    file lacks is null there. ``columns`` names the cells of files that have no header line.
 
-    Rows with too few or too many cells stay, with the original line in ``_malformed``. A file whose
-    header differs from the first one's is an error, never silently read into the wrong columns.
-    With ``skip_unreadable`` a file that cannot be read, or has another header, is left out instead;
-    ``rows_per_file`` then lists it with 0 rows.
+    Rows with too few or too many cells stay, with the original line in ``_malformed``. A file without a readable header is an
+    error; with ``skip_unreadable`` it is left out instead, and ``file_report`` lists it with the reason. ``multi_line`` allows
+    line breaks inside quoted cells; such files can't be split over tasks, so it is off by default. ``file_column`` adds each row's file
+    under that name.
     """
-    if list_files(spark, path, pattern).isEmpty():
+    files = [r.path for r in list_files(spark, path, pattern).select("path").collect()]
+    if not files:
         raise ValueError(f"no CSV files in {path}")
-    header = columns
-    if header is None:
-        folders = set(_reader(spark, pattern).schema("_ string").csv(path).columns) - {"_"}
-        header = [c for c in _reader(spark, pattern).csv(path).columns if c not in folders]
-    layout = T.StructType([T.StructField(c, T.StringType()) for c in header + [BAD]])
-    return (
-        _reader(spark, pattern)
-        .option("header", columns is None)
-        .schema(layout)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD)
-        .option("columnPruning", False)  # a row's cells can only be counted when all are parsed
-        .option("ignoreCorruptFiles", skip_unreadable)
-        .csv(path)
-    )
+
+    def scan(paths: str | list[str], header: list[str]) -> DataFrame:
+        layout = T.StructType([T.StructField(c, T.StringType()) for c in header + [BAD]])
+        reader = (
+            _reader(spark, pattern)
+            .option("header", columns is None)
+            .schema(layout)
+            .option("enforceSchema", False)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", BAD)
+            .option("columnPruning", False)  # a row's cells can only be counted when all are parsed
+            .option("ignoreCorruptFiles", skip_unreadable)
+            .option("multiLine", multi_line)
+        )
+        rows = (reader.option("basePath", path) if isinstance(paths, list) else reader).csv(paths)
+        return rows.withColumn(file_column, F.col("_metadata.file_path")) if file_column else rows
+
+    if columns is not None:
+        return scan(path, columns)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header, reason in headers(spark, files):
+        if header is not None:
+            groups.setdefault(tuple(header), []).append(file)
+        elif reason != "no header line" and not skip_unreadable:
+            raise ValueError(f"{file}: {reason}")
+    if not groups:
+        raise ValueError(f"no readable CSV files in {path}")
+    if len(groups) == 1 and len(files) == sum(map(len, groups.values())):
+        return scan(path, list(next(iter(groups))))
+    single = path.rstrip("/").rsplit("/", 1)[-1] == files[0].rsplit("/", 1)[-1]
+    return union_by_name([scan(path if single else paths, list(header)) for header, paths in sorted(groups.items())])
 
 
 def typed(df: DataFrame, layout: T.StructType = RAW, keep: list[str] | None = None) -> DataFrame:
@@ -69,12 +121,33 @@ def typed(df: DataFrame, layout: T.StructType = RAW, keep: list[str] | None = No
 
 
 def ingest(
-    spark: SparkSession, paths: list[str], layout: T.StructType = RAW, skip_unreadable: bool = False
+    spark: SparkSession,
+    paths: list[str],
+    layout: T.StructType = RAW,
+    skip_unreadable: bool = False,
+    on_malformed: str = "keep",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Several CSV data sets, one per year say, as one typed table; headers may differ between them."""
+    """Several CSV data sets, one per year say, as one typed table; headers may differ between and inside them.
+
+    ``on_malformed`` says what becomes of rows with too few or too many cells: "keep" takes the cells that are there, "drop"
+    leaves such rows out, "fail" stops on the first; "mark" keeps them with the original line in a last column ``_malformed``.
+    """
     if not paths:
         raise ValueError("no input paths")
-    return union_by_name([typed(read_text(spark, p, skip_unreadable=skip_unreadable), layout) for p in paths])
+    if on_malformed not in ("keep", "drop", "fail", "mark"):
+        raise ValueError(f"unknown choice {on_malformed!r}")
+    parts = []
+    for p in paths:
+        text = read_text(spark, p, skip_unreadable=skip_unreadable, multi_line=multi_line)
+        if on_malformed == "drop":
+            text = text.filter(F.col(BAD).isNull())
+        elif on_malformed == "fail":
+            stop = F.raise_error(F.concat(F.lit("malformed row: "), F.col(BAD))).cast("boolean")
+            text = text.filter(F.when(F.col(BAD).isNull(), True).otherwise(stop))
+        rows = typed(text, layout, [BAD] if on_malformed == "mark" else None)
+        parts.append(rows.select(*layout.names, BAD) if on_malformed == "mark" else rows)
+    return union_by_name(parts)
 
 
 def require_rows(df: DataFrame) -> DataFrame:
@@ -84,14 +157,14 @@ def require_rows(df: DataFrame) -> DataFrame:
     return df
 
 
-def infer(spark: SparkSession, path: str, sampled: float = 1.0) -> DataFrame:
+def infer(spark: SparkSession, path: str, sampled: float = 1.0, multi_line: bool = False) -> DataFrame:
     """Read with guessed types; ``sampled`` below 1 guesses from that part of the rows."""
-    return _reader(spark).option("inferSchema", True).option("samplingRatio", sampled).csv(path)
+    return _reader(spark).option("inferSchema", True).option("samplingRatio", sampled).option("multiLine", multi_line).csv(path)
 
 
-def rows_per_file(df: DataFrame, files: DataFrame | None = None) -> DataFrame:
+def rows_per_file(df: DataFrame, files: DataFrame | None = None, file_column: str = "_metadata.file_path") -> DataFrame:
     """Rows read from each file; with a listing, files that gave no rows are there with 0."""
-    counts = df.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count("*").alias("n"))
+    counts = df.select(F.col(file_column).alias("path")).groupBy("path").agg(F.count("*").alias("n"))
     if files is None:
         return counts
     listed = files.select(plain_path("path").alias("path"))
@@ -99,6 +172,23 @@ def rows_per_file(df: DataFrame, files: DataFrame | None = None) -> DataFrame:
     return listed.join(counts, "path", "left").fillna(0, ["n"])
 
 
+def file_report(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataFrame:
+    """Per file: rows, malformed rows, and why it could not be read, if so; unreadable files have 0 rows."""
+    files = list_files(spark, path, pattern)
+    found = headers(spark, [r.path for r in files.select("path").collect()])
+    outcome = constant_table(spark, [(f, reason) for f, _, reason in found], ["path", "reason"], ["string", "string"])
+    outcome = outcome.withColumn("path", plain_path("path"))
+    if all(header is None for _, header, _ in found):
+        counts = outcome.limit(0).select("path", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("n_malformed"))
+    else:
+        text = read_text(spark, path, pattern=pattern, skip_unreadable=True, file_column="_file")
+        # Spark refuses to read the mark alone, so a cell of the row is read with it.
+        marked = F.when(F.col(BAD).isNotNull(), F.struct(text.columns[0]))
+        counts = text.groupBy(F.col("_file").alias("path")).agg(F.count("*").alias("n"), F.count(marked).alias("n_malformed"))
+        counts = counts.select(plain_path("path").alias("path"), "n", "n_malformed")
+    return outcome.join(counts, "path", "left").fillna(0, ["n", "n_malformed"]).select("path", "n", "n_malformed", "reason")
+
+
 def plain_path(column: str):
     """A path without the slashes that differ between file listings (file:/a and file:///a)."""
     return F.regexp_replace(F.col(column), "^([a-z0-9]+):/+", "$1:/")
@@ -109,17 +199,24 @@ def dataset_of(column: str = "_metadata.file_path"):
     return F.element_at(F.split(F.col(column), "/"), -2)
 
 
-def row_report(df: DataFrame) -> DataFrame:
+def row_report(df: DataFrame, file_column: str = "_metadata.file_path") -> DataFrame:
     """Per folder: rows read by ``read_text``, how many were malformed, and how many lack their first cell."""
-    return df.groupBy(dataset_of().alias("dataset")).agg(
+    return df.groupBy(dataset_of(file_column).alias("dataset")).agg(
         F.count("*").alias("n"),
         F.count(BAD).alias("n_malformed"),
         F.count_if(F.col(df.columns[0]).isNull()).alias("n_no_first_cell"),
     )
 
 
-def write(df: DataFrame, path: str, by: list[str] | None = None, one_file: bool = False) -> None:
-    """Write with a header. ``one_file`` forces everything through a single task; only for small tables."""
-    out = (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True)
+def write(df: DataFrame, path: str, by: list[str] | None = None, one_file: bool = False, multi_line: bool = False, mode: str = "overwrite") -> None:
+    """Write with a header. ``one_file`` forces everything through a single task; only for small tables.
+
+    A cell with a line break would come back as two rows unless it is read with ``multi_line``, so without that it is an error.
+    """
+    if not multi_line:
+        stop = F.raise_error(F.lit("a cell holds a line break; write and read with multi_line")).cast("string")
+        texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        df = df.withColumns({c: F.when(F.col(f"`{c}`").rlike("[\r\n]"), stop).otherwise(F.col(f"`{c}`")) for c in texts}) if texts else df
+    out = (df.coalesce(1) if one_file else df).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
     with settings(df.sparkSession, WIDE_STAGES):
         (out.partitionBy(*by) if by else out).csv(path)

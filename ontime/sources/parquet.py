@@ -27,7 +27,7 @@ def read_years(spark: SparkSession, path: str, columns: T.StructType, years: lis
     """Read such a table; ``years`` skips the folders of all others."""
     layout = T.StructType([f for f in columns.fields if f.name != "year"] + [T.StructField("year", T.IntegerType())])
     df = spark.read.schema(layout).parquet(path)
-    return df.filter(F.col("year").isin(years)) if years else df
+    return df.filter(F.col("year").isin(years)) if years is not None else df
 
 
 def csv_to_years(spark: SparkSession, paths: list[str], out: str, layout: T.StructType = RAW, **options) -> None:

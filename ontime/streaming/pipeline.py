@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ontime.operators.messages import decode, encode
 from ontime.operators.models import TARGETS, score
-from ontime.schema import MESSAGE, PREDICTION
+from ontime.schema import MESSAGE, prediction_layout
 from ontime.session import settings
 
 # State in RocksDB spills to disk instead of filling the executors' memory. Counting its rows would
@@ -66,11 +68,30 @@ def run(spark: SparkSession) -> None:
 
 def score_messages(messages: DataFrame, model: PipelineModel, targets: list[str] = TARGETS) -> DataFrame:
     """Message values to predictions: all models in one stateless pass, no join."""
-    return score(decode(messages, MESSAGE), model, targets).select(*PREDICTION.names)
+    return score(decode(messages, MESSAGE), model, targets).select(*prediction_layout(targets).names)
 
 
 def prediction_messages(predictions: DataFrame) -> DataFrame:
-    return encode(predictions, ["event_id"], PREDICTION.names)
+    return encode(predictions, ["event_id"], predictions.columns)
+
+
+def two_sinks(
+    df: DataFrame, table: str, checkpoints: str, second: tuple[str, dict[str, str]], prepare: Callable[[DataFrame], DataFrame] | None = None,
+    trigger: dict | None = None,
+) -> tuple[StreamingQuery, Callable[[], StreamingQuery]]:
+    """One stream into a Parquet table and, from there, into a second sink, so that its rows are computed once.
+
+    Returns the first query and a function that starts the second. The second reads the table as a stream, so call it once the
+    table's folder exists; each has a checkpoint folder of its own and restarts by itself.
+    """
+    first = start(df, "parquet", f"{checkpoints}/first", {"path": table}, trigger)
+
+    def follow() -> StreamingQuery:
+        rows = source(df.sparkSession, "parquet", {"path": table}, df.schema)
+        fmt, options = second
+        return start(prepare(rows) if prepare else rows, fmt, f"{checkpoints}/second", options, trigger)
+
+    return first, follow
 
 
 def join_predictions(
@@ -79,8 +100,11 @@ def join_predictions(
     """Inner join of two prediction tables or streams.
 
     Keys should identify an event: a route matches every flight on it with every other. For streams
-    give the event time and the longest delay to expect; both sides then drop state older than that.
+    give the event time and the longest delay to expect; both sides then drop state older than that. Without them a stream's
+    state would grow for ever, so that is an error.
     """
+    if (left.isStreaming or right.isStreaming) and not (time and delay):
+        raise ValueError("a join of streams needs the event time and the longest delay to expect")
     if time and delay:
         left, right = left.withWatermark(time, delay), right.withWatermark(time, delay)
     return left.join(right, keys + ([time] if time else []))

@@ -100,3 +100,48 @@ def test_event_ids_never_collide(spark):
     rows = [("a-b", "c"), ("a", "b-c"), (None, "x"), ("\\N", "x"), ("a\\", "-b"), ("a", "\\-b")]
     ids = C.with_event_id(spark.createDataFrame(rows, "p string, q string"), ["p", "q"])
     assert ids.select("event_id").distinct().count() == len(rows)
+
+
+def test_small_fractions_and_null_keys(spark):
+    from ontime.operators import sample as S
+
+    df = spark.range(1_000_000)
+    for bucket in (S.bucket_of(["id"], 3), S.fast_bucket_of(["id"], 3), S.integer_bucket_of({"id": 7})):
+        assert 15 < S.sample(df, 0.00004, bucket).count() < 75
+        few, rest = S.split(df, 0.99999, bucket)
+        assert few.count() + rest.count() == 1_000_000 and rest.count() > 0
+    keyed = spark.createDataFrame([(1,), (2,), (None,)], "k long")
+    for bucket in (S.bucket_of(["k"], 3), S.fast_bucket_of(["k"], 3), S.integer_bucket_of({"k": 7}), F.lit(None).cast("long")):
+        train, test = S.split(keyed, 0.5, bucket)
+        assert train.count() + test.count() == 3
+        assert sum(r.n for r in S.split_counts(keyed.withColumn("y", F.lit(1)), 0.5, bucket, "y").collect()) == 3
+
+
+def test_keys_of_one_column_are_never_null(spark):
+    from ontime.functions.values import key_text
+
+    df = spark.createDataFrame([("a",), (None,), ("\\N",)], "k string")
+    keys = [r[0] for r in df.select(key_text(["k"])).collect()]
+    assert keys[0] == "a" and None not in keys and len(set(keys)) == 3
+
+
+def test_first_row_per_key(spark):
+    df = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (2, None, 1), (1, "a", 3)], "k int, t string, n int")
+    for order in (df, df.orderBy(F.desc("n")), df.repartition(3)):
+        assert sorted(C.first_per_key(order, ["k"]).collect()) == [(1, "a", 3), (2, None, 1)]
+
+
+def test_labels_move_no_flight(spark):
+    from ontime.plans.registry import QUERIES
+
+    plan = QUERIES["code_labels"](spark, "/root/testdata/sf0.001")
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in text and "BroadcastHashJoin" in text
+
+
+def test_scheduled_departure_is_pushed_to_the_scan(spark):
+    from ontime.plans.flights import flights
+
+    plan = C.clean(flights(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().toString()
+    assert "IsNotNull(CRS_DEP_TIME)" in plan

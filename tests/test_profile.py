@@ -157,3 +157,35 @@ def test_nan_counts_as_missing_everywhere(spark):
         assert sorted(fn(dirty).collect()) == sorted(fn(clean).collect())
     zeros = clean.union(spark.createDataFrame([("a", 0.0, 0.0)] * 2, clean.schema))
     assert sorted(R.correlations(dirty, ["x", "y"]).collect()) == sorted(R.correlations(zeros, ["x", "y"]).collect())
+
+
+def test_exact_types(spark):
+    from decimal import Decimal
+
+    big = 2**53
+    df = spark.createDataFrame([(Decimal("9.50"), 9, big), (Decimal("10.00"), 10, big + 1)], "d decimal(9,2), s short, b long")
+    got = {r.column: r for r in P.describe_table(df).collect()}
+    assert (got["d"].min, got["d"].max, got["d"].mean, got["d"].min_text, got["d"].max_text) == (9.5, 10.0, 9.75, "9.50", "10.00")
+    assert (got["s"].min, got["s"].max, got["s"].min_text) == (9.0, 10.0, "9")
+    assert (got["b"].min_text, got["b"].max_text) == (str(big), str(big + 1))
+    from ontime.operators.ordered import value_ranks
+
+    assert value_ranks(df.selectExpr("1 AS g", "b"), ["g"], "b").count() == 2
+
+
+def test_nan_is_no_value_in_counts_and_filters(spark):
+    from ontime.operators.clean import filter_known
+
+    df = spark.createDataFrame([(1, 1.0), (1, NAN), (1, None), (1, 2.0)], "g int, x double")
+    assert [r.n_distinct for r in P.distinct_counts(df, ["g"], ["x"]).collect()] == [2]
+    assert [r.n_distinct for r in P.distinct_counts(df, ["g"], ["x"], approximate=True).collect()] == [2]
+    assert filter_known(df, "x").count() == 2
+    assert sorted((r.x, r.n) for r in P.known_counts(df, "g", "x").collect()) == [(1.0, 1), (2.0, 1)]
+    assert {r.x: r.n for r in P.share(df, "g", "x").collect()} == {1.0: 1, 2.0: 1, None: 2}
+
+
+def test_year_report_takes_two_scans(spark):
+    from ontime.plans.flights import flights
+
+    df = flights(spark, "/root/testdata/sf0.001", ["year"])
+    assert P.year_report(df)._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2

@@ -40,14 +40,68 @@ def test_years_with_different_headers(spark, tmp_path):
     assert got == sorted([("ann", 1.0, dt.date(2009, 1, 1)), ("bob", None, None), (None, None, dt.date(2010, 2, 3))], key=str)
 
 
-def test_unlike_headers_in_one_folder_are_an_error(spark, tmp_path):
-    put(f"{tmp_path}/a.csv", "name,x\nann,1\n")
-    put(f"{tmp_path}/b.csv", "x,name\n2,bob\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        csv.read_text(spark, str(tmp_path)).collect()
-    some = csv.read_text(spark, str(tmp_path), skip_unreadable=True)
-    counts = csv.rows_per_file(some, csv.list_files(spark, str(tmp_path)))
-    assert sorted(r.n for r in counts.collect()) == [0, 1]
+def test_unlike_headers_in_one_folder(spark, tmp_path):
+    put(f"{tmp_path}/2009.csv", "name,x,Unnamed: 2\nann,1,\n")
+    put(f"{tmp_path}/2010.csv", "x,name\n2,bob\n")
+    put(f"{tmp_path}/2011.csv", "name\ncal\n")
+    layout = T.StructType(SMALL.fields[:2])
+    assert rows(csv.ingest(spark, [str(tmp_path)], layout)) == [("ann", 1.0), ("bob", 2.0), ("cal", None)]
+    text = csv.read_text(spark, str(tmp_path), file_column="file")
+    counts = csv.rows_per_file(text, csv.list_files(spark, str(tmp_path)), "file")
+    assert sorted(r.n for r in counts.collect()) == [1, 1, 1]
+
+
+def test_one_scan_for_each_header(spark, tmp_path):
+    for i in range(6):
+        put(f"{tmp_path}/{i}.csv", ("name,x\nann,1\n", "x,name\n1,ann\n")[i % 2])
+    df = csv.read_text(spark, str(tmp_path))
+    assert df.count() == 6
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+
+
+def test_files_that_cannot_be_read_are_reported(spark, tmp_path):
+    put(f"{tmp_path}/a.csv", "name,x\nann,1\nbob\n")
+    put(f"{tmp_path}/b.csv.gz", "this is no gzip\n")
+    put(f"{tmp_path}/c.csv", "\n")
+    with pytest.raises(ValueError, match="b.csv.gz"):
+        csv.read_text(spark, str(tmp_path), pattern="*.csv*")
+    report = {r.path.rsplit("/")[-1]: r for r in csv.file_report(spark, str(tmp_path), "*.csv*").collect()}
+    assert (report["a.csv"].n, report["a.csv"].n_malformed, report["a.csv"].reason) == (2, 1, None)
+    assert report["b.csv.gz"].n == 0 and "gzip" in report["b.csv.gz"].reason
+    assert report["c.csv"].reason == "no header line"
+
+
+def test_doubled_quotes_and_line_breaks(spark, tmp_path):
+    put(f"{tmp_path}/a/a.csv", 'name,x\n"x, ""y"" z",1\n')
+    layout = T.StructType(SMALL.fields[:2])
+    assert rows(csv.ingest(spark, [f"{tmp_path}/a"], layout)) == [('x, "y" z', 1.0)]
+    put(f"{tmp_path}/b/b.csv", 'name,x\n"two\nlines",1\n')
+    assert rows(csv.ingest(spark, [f"{tmp_path}/b"], layout, multi_line=True)) == [("two\nlines", 1.0)]
+    df = spark.createDataFrame([("two\nlines", 1.0)], "name string, x double")
+    with pytest.raises(Exception, match="line break"):
+        csv.write(df, f"{tmp_path}/c")
+    csv.write(df, f"{tmp_path}/d", multi_line=True)
+    assert rows(csv.ingest(spark, [f"{tmp_path}/d"], layout, multi_line=True)) == rows(df)
+
+
+def test_malformed_rows_by_choice(spark, tmp_path):
+    put(f"{tmp_path}/a.csv", "name,x\nann,1\nbob\ncal,3,4\n")
+    layout = T.StructType(SMALL.fields[:2])
+    take = lambda choice: csv.ingest(spark, [str(tmp_path)], layout, on_malformed=choice)
+    assert rows(take("keep")) == [("ann", 1.0), ("bob", None), ("cal", 3.0)]
+    assert rows(take("drop")) == [("ann", 1.0)]
+    assert rows(take("mark")) == [("ann", 1.0, None), ("bob", None, "bob"), ("cal", 3.0, "cal,3,4")]
+    with pytest.raises(Exception, match="malformed row"):
+        take("fail").collect()
+    with pytest.raises(ValueError):
+        take("other")
+
+
+def test_no_year_is_no_row(spark):
+    path = fresh_dir(spark, "test")
+    df = spark.createDataFrame([("2009-01-01", 1)], "FL_DATE string, n int")
+    parquet.write_years(df, path)
+    assert parquet.read_years(spark, path, df.schema, []).count() == 0
 
 
 def test_no_files(spark, tmp_path):

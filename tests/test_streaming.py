@@ -131,3 +131,50 @@ def test_settings_are_put_back(spark, tmp_path):
     stream = X.source(spark, "parquet", {"path": f"{tmp_path}/in"}, spark.range(1).schema)
     X.drain(X.start(stream, "console", trigger=NOW))
     assert {key: spark.conf.get(key, None) for key in X.STATE} == before
+
+
+def test_one_target_and_a_join_of_scored_streams(spark, raw, tmp_path):
+    """Layout by target, event time carried, several batches, and the second side scored by a model of its own."""
+    rows = messages(raw)
+    M.publish(M.encode(rows.repartition(4), ["event_id"], MESSAGE.names), "parquet", {"path": f"{tmp_path}/in"})
+    layout = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
+    sides = []
+    for target in ("cancelled", "diverted"):
+        model = L.fit(rows, "rf", [target])
+        stream = X.source(spark, "parquet", {"path": f"{tmp_path}/in", "maxFilesPerTrigger": "1"}, layout)
+        sides.append(X.score_messages(stream, model, [target]))
+        assert sides[-1].columns == ["event_id", "event_time", "origin_airport", "destination_airport", f"{target}_prediction", f"{target}_probability"]
+    joined = X.join_predictions(sides[0], sides[1].drop("origin_airport", "destination_airport"), ["event_id"], "event_time", "4000 days")
+    got = run(joined, tmp_path)
+    assert got.count() == rows.count() == got.select("event_id").distinct().count()
+
+
+def test_unbounded_stream_join_is_refused(spark, tmp_path):
+    spark.createDataFrame([("a", None, "r", 0.5)], SIDE).write.parquet(f"{tmp_path}/in")
+    stream = X.source(spark, "parquet", {"path": f"{tmp_path}/in"}, T.StructType.fromDDL(SIDE))
+    table = spark.read.parquet(f"{tmp_path}/in")
+    for left, right in ((stream, stream), (stream, table), (table, stream)):
+        with pytest.raises(ValueError):
+            X.join_predictions(left, right, ["event_id"], "event_time")
+    assert X.join_predictions(table, table.drop("route", "p", "event_time"), ["event_id"]).count() == 1
+
+
+def test_two_sinks_and_their_restart(spark, tmp_path):
+    spark.range(5).withColumn("x", F.col("id") * 2).write.parquet(f"{tmp_path}/in")
+    layout = T.StructType.fromDDL("id long, x long")
+    for n in (5, 8):
+        stream = X.source(spark, "parquet", {"path": f"{tmp_path}/in"}, layout)
+        first, follow = X.two_sinks(stream, f"{tmp_path}/table", f"{tmp_path}/checks", ("parquet", {"path": f"{tmp_path}/second"}), lambda d: d.select((F.col("x") + 1).alias("y")), NOW)
+        X.drain(first)
+        X.drain(follow())
+        assert spark.read.parquet(f"{tmp_path}/table").count() == n == spark.read.parquet(f"{tmp_path}/second").count()
+        spark.range(100, 103).withColumn("x", F.col("id") * 2).write.mode("append").parquet(f"{tmp_path}/in")
+
+
+def test_run_returns_when_a_query_ends(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/in")
+    spark.streams.resetTerminated()
+    X.start(X.source(spark, "parquet", {"path": f"{tmp_path}/in"}, T.StructType.fromDDL("id long")), "parquet", f"{tmp_path}/c", {"path": f"{tmp_path}/out"}, NOW)
+    X.run(spark)
+    spark.streams.resetTerminated()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 3
