@@ -27,6 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Smallest id that links reach, from ``vertices`` (id) and ``links`` (a, b).
+_REACHED = (
+    "ways AS (SELECT a AS x, b AS y FROM links UNION ALL SELECT b, a FROM links), "
+    "reached AS (SELECT id, id AS other FROM vertices UNION SELECT ways.y, reached.other FROM reached JOIN ways ON ways.x = reached.id), "
+    "component AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id)"
+)
+
+
 @query()
 def op1_quality_repetition(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", quality.score("text").alias("q"))
@@ -43,7 +51,23 @@ def op2_pii_skip_chain(spark, sf_dir):
     return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
-@query()
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_SHINGLES = (
+    "CASE WHEN len(words) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(words) < 4 THEN [array_to_string(words, ' ')] "
+    "ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i : i + 3], ' ')) END"
+)
+
+
+@query(
+    "WITH RECURSIVE cut AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), "
+    f"'{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents), "
+    f"shingles AS (SELECT DISTINCT doc_id, unnest({_SHINGLES}) AS shingle FROM cut), "
+    "sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id), "
+    "met AS (SELECT s.doc_id AS a, t.doc_id AS b, count(*) AS c FROM shingles s JOIN shingles t ON s.shingle = t.shingle AND s.doc_id < t.doc_id GROUP BY ALL), "
+    "links AS (SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)), "
+    f"vertices AS (SELECT doc_id AS id FROM documents), {_REACHED} "
+    "SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents d LEFT JOIN sizes USING (doc_id) JOIN component ON id = d.doc_id"
+)
 def op3_jaccard_count_tree(spark, sf_dir):
     return jaccard.classes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -55,7 +79,16 @@ def op4_mix_sources(spark, sf_dir):
     return mixing.interleave(docs, parts, "source", F.col("chars"), ["doc_id"])
 
 
-@query()
+@query(
+    "WITH RECURSIVE ok AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL "
+    "AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0), "
+    "links AS (SELECT s.vec_id AS a, t.vec_id AS b FROM ok s JOIN ok t ON s.label = t.label AND s.vec_id < t.vec_id AND len(s.v) = len(t.v) "
+    "WHERE list_dot_product(s.v, t.v) / sqrt(list_dot_product(s.v, s.v) * list_dot_product(t.v, t.v)) >= 0.98), "
+    f"vertices AS (SELECT vec_id AS id FROM embeddings), {_REACHED}, "
+    "degrees AS (SELECT x AS id, count(*) AS n FROM ways GROUP BY x) "
+    "SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept "
+    "FROM embeddings e JOIN component c ON c.id = e.vec_id LEFT JOIN degrees g ON g.id = e.vec_id"
+)
 def op5_collision_counting(spark, sf_dir):
     found = neardup.classes(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
@@ -108,7 +141,16 @@ def op9_url_trees(spark, sf_dir):
     return urls.judge(ruled, urls.fit(ruled)).select("page_id", "host", "path", "rule", "verdict")
 
 
-@query()
+_FIVE_BITS = "(CAST('0x' || substr(hex, 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31"
+
+
+@query(
+    "SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: "
+    f"substr('{warc.BASE32}', CAST(1 + ({_FIVE_BITS}) AS BIGINT), 1)), '') AS payload_digest, "
+    "CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to "
+    "FROM (SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS hex, min(page_id) OVER (PARTITION BY payload) AS first "
+    "FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages))"
+)
 def op10_warc_addressed(spark, sf_dir):
     archive = fresh_dir(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), archive, "page_id", "url", "html")
