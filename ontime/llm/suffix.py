@@ -29,10 +29,11 @@ from ontime.llm import textblocks as B
 from ontime.llm.tables import runs, stored
 
 LENGTH = 200
-#: Bytes of a gram.
-GRAM = 32
-#: Bytes of a shard, about, and of one gram's ranges at most.
-SHARD_BYTES = 1 << 20
+#: Bytes of a gram. Longer ones make more ranges; shorter ones are found more often around places where copies differ.
+GRAM = 48
+#: Bytes of a shard, about, and of one gram's ranges in it at most.
+SHARD_BYTES = 1 << 18
+GRAM_BYTES = 1 << 20
 #: Bytes of a piece in which texts travel, without the overlap.
 PIECE = 1 << 16
 #: Windows looked at in one go; positions must fit 23 bits.
@@ -80,7 +81,20 @@ def ranges(block: B.Block, length: int, gram: int) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-_RANGE = "d1 long, d2 int, lo long, hi long, key long, content long, times int"
+_RANGE = "d1 long, d2 int, place long, key long, content long"
+
+
+def _place(lo: np.ndarray, hi: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """A range and how often it was seen, in one number: texts are shorter than 2**31 bytes, and times is 0, 1 or 2."""
+    lo, hi, times = (x.astype(_U) for x in (lo, hi, times))
+    return ((lo << _U(33)) | ((hi - lo) << _U(2)) | times).view(np.int64)
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    """Columns lo, hi and times in place of ``place``."""
+    lo = F.shiftrightunsigned("place", 33)
+    span = F.shiftrightunsigned("place", 2).bitwiseAND((1 << 31) - 1)
+    return df.withColumns({"lo": lo, "hi": lo + span, "times": F.col("place").bitwiseAND(3)}).drop("place")
 
 
 def _anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -106,12 +120,11 @@ def _anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
             ends = np.append(begins[1:], len(flagged))[: len(begins)] - 1
             rows = np.concatenate((row[where], row[flagged[begins]])).astype(np.int64)
             empty = pa.nulls(len(begins), pa.int64())
-            column = lambda a, b: pa.array(np.concatenate((a, b)))
             take = pa.array(rows)
+            place = np.concatenate((_place(lo[where], hi[where], np.minimum(number, 2)), _place(lo[flagged[begins]], hi[flagged[ends]], np.zeros(len(begins)))))
             yield pa.RecordBatch.from_arrays([
-                batch.column("d1").take(take), batch.column("d2").take(take), column(lo[where], lo[flagged[begins]]), column(hi[where], hi[flagged[ends]]),
+                batch.column("d1").take(take), batch.column("d2").take(take), pa.array(place),
                 pa.concat_arrays([pa.array(key[where].view(np.int64)), empty]), pa.concat_arrays([pa.array(content[where].view(np.int64)), empty]),
-                pa.array(np.concatenate((np.minimum(number, 2), np.zeros(len(begins)))).astype(np.int32)),
             ], names=[x.split()[0] for x in _RANGE.split(", ")])
 
     return docs.mapInArrow(found, _RANGE)
@@ -193,24 +206,29 @@ def _induce_in_turn(s: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray) ->
     n = len(s)
     ends = np.cumsum(np.bincount(s))
     heads, tails = (ends - np.bincount(s)).tolist(), ends.tolist()
-    symbol, kind = s.tolist(), smaller.tolist()
-    out = [-1] * n
+    # Of each suffix, the symbol before it if that begins a suffix of the wanted kind, else -1; place n stands for "none yet".
+    before_larger, before_smaller = np.full(n + 1, -1), np.full(n + 1, -1)
+    before_larger[1:n] = np.where(smaller[:-1], -1, s[:-1])
+    before_smaller[1:n] = np.where(smaller[:-1], s[:-1], -1)
+    larger_at, smaller_at = before_larger.tolist(), before_smaller.tolist()
+    out = [n] * n
     free = list(tails)
-    for i in reversed(leftmost.tolist()):
-        free[symbol[i]] -= 1
-        out[free[symbol[i]]] = i
-    for at in range(n):
-        i = out[at] - 1
-        if i >= 0 and not kind[i]:
-            c = symbol[i]
-            out[heads[c]] = i
-            heads[c] += 1
+    for i, c in zip(leftmost[::-1].tolist(), s[leftmost[::-1]].tolist()):
+        free[c] -= 1
+        out[free[c]] = i
+    for j in out:  # the list grows ahead of the loop
+        c = larger_at[j]
+        if c >= 0:
+            head = heads[c]
+            out[head] = j - 1
+            heads[c] = head + 1
     for at in range(n - 1, -1, -1):
-        i = out[at] - 1
-        if i >= 0 and kind[i]:
-            c = symbol[i]
-            tails[c] -= 1
-            out[tails[c]] = i
+        j = out[at]
+        c = smaller_at[j]
+        if c >= 0:
+            tail = tails[c] - 1
+            out[tail] = j - 1
+            tails[c] = tail
     out[0] = n - 1
     return np.array(out, np.int64)
 
@@ -314,6 +332,10 @@ def _by_shard(snippets: DataFrame, length: int) -> DataFrame:
 
         groups, size = [], 0
         for group in runs(batches, ["key"]):
+            # Rows of the same id and text ask for the same range; one is enough.
+            place = np.column_stack([group.column(c).to_numpy() for c in ("d1", "d2", "lo")])
+            fresh = np.append(True, (place[1:] != place[:-1]).any(1))
+            group = group if fresh.all() else group.filter(pa.array(fresh))
             groups.append(group)
             size += group.nbytes
             if size >= SHARD_BYTES:
@@ -323,7 +345,7 @@ def _by_shard(snippets: DataFrame, length: int) -> DataFrame:
             yield settle(groups)
 
     columns = ["key", "d1", "d2", "lo", "single", "bytes"]
-    return snippets.select(*columns).repartition("key").sortWithinPartitions("key").mapInArrow(settled, _FLAG)
+    return snippets.select(*columns).repartition("key").sortWithinPartitions("key", "d1", "d2", "lo").mapInArrow(settled, _FLAG)
 
 
 def _by_window(snippets: DataFrame, length: int) -> DataFrame:
@@ -342,7 +364,7 @@ def _by_window(snippets: DataFrame, length: int) -> DataFrame:
                 lo = pa.array(batch.column("lo").take(take).to_numpy() + offset)
                 yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), batch.column("d1").take(take), batch.column("d2").take(take), lo, batch.column("single").take(take)], names=["one", "two", "d1", "d2", "lo", "single"])
 
-    windows = snippets.mapInArrow(hashed, "one long, two long, d1 long, d2 int, lo long, single boolean")
+    windows = snippets.dropDuplicates(["key", "d1", "d2", "lo"]).mapInArrow(hashed, "one long, two long, d1 long, d2 int, lo long, single boolean")
     again = windows.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1")
     return windows.where("single").join(again, ["one", "two"], "left_semi").select("d1", "d2", "lo", F.col("lo").alias("hi"))
 
@@ -351,12 +373,14 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     """(d1, d2, lo, hi): every repeated window of ``length`` bytes starts in one of a text's ranges. docs: d1, d2, text."""
     anchors = stored(_anchors(docs.where(F.octet_length("text") >= length), length, gram), "anchors")
     same_gram, same_bytes = Window.partitionBy("key"), Window.partitionBy("key", "content")
-    met = anchors.where("key IS NOT NULL").withColumns({"n": F.sum("times").over(same_bytes), "place": F.row_number().over(same_bytes.orderBy("d1", "d2", "lo"))})
+    times = F.col("place").bitwiseAND(3)
+    met = anchors.where("key IS NOT NULL").withColumns({"n": F.sum(times).over(same_bytes), "turn": F.row_number().over(same_bytes.orderBy("d1", "d2", "place"))})
     met = met.withColumns({"least": F.min("n").over(same_gram), "c0": F.min("content").over(same_gram), "c1": F.max("content").over(same_gram)})
     # A gram whose ranges are all repeated as wholes, or that has one range only, is settled.
-    met = met.withColumn("ask", (F.col("place") == 1) & (F.col("c0") != F.col("c1")) & (F.col("least") == 1))
-    met = stored(met.where("ask OR (n > 1 AND times = 1)").select("d1", "d2", "lo", "hi", "key", "times", "ask", "n"), "met-anchors")
-    whole = anchors.where("key IS NULL").unionByName(met.where("n > 1 AND times = 1"), allowMissingColumns=True).select("d1", "d2", "lo", "hi")
+    met = met.withColumn("ask", (F.col("turn") == 1) & (F.col("c0") != F.col("c1")) & (F.col("least") == 1))
+    met = stored(met.where(F.col("ask") | ((F.col("n") > 1) & (times == 1))).select("d1", "d2", "place", "key", "ask", "n"), "met-anchors")
+    whole = anchors.where("key IS NULL").select("d1", "d2", "place").union(met.where((F.col("n") > 1) & (times == 1)).select("d1", "d2", "place"))
+    whole, met = _placed(whole).select("d1", "d2", "lo", "hi"), _placed(met)
 
     span = F.col("hi") - F.col("lo") + length
     asked = met.where("ask").select("key", "d1", "d2", "lo", (F.col("n") == 1).alias("single"), span.cast("int").alias("size"), F.floor(F.col("lo") / PIECE).cast("int").alias("piece"))
@@ -366,9 +390,9 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     pieces = raw.select("d1", "d2", "raw", F.explode(F.sequence(F.lit(0), last)).alias("piece")).select("d1", "d2", "piece", F.substring("raw", begin + 1, F.lit(PIECE + 2 * length)).alias("part"))
     cut = F.substring("part", (F.col("lo") - begin + 1).cast("int"), F.col("size"))
     snippets = asked.join(pieces, ["d1", "d2", "piece"]).select("key", "d1", "d2", "lo", "single", cut.alias("bytes"))
-    snippets = stored(snippets.dropDuplicates(["key", "d1", "d2", "lo"]), "snippets")
+    snippets = stored(snippets, "snippets")
 
-    large = snippets.groupBy("key").agg(F.sum(F.octet_length("bytes")).alias("size")).where(F.col("size") > SHARD_BYTES).select("key")
+    large = snippets.groupBy("key").agg(F.sum(F.octet_length("bytes")).alias("size")).where(F.col("size") > GRAM_BYTES).select("key")
     flags = whole.union(_by_shard(snippets.join(large, "key", "left_anti"), length))
     return flags.union(_by_window(snippets.join(large, "key", "left_semi"), length))
 

@@ -89,6 +89,7 @@ def texts(seed):
 def test_shared_passages(spark, seed, shard, monkeypatch):
     """Also with shards so small that grams overflow them, pieces so small that texts are cut, and few windows at a time."""
     monkeypatch.setattr(suffix, "SHARD_BYTES", shard)
+    monkeypatch.setattr(suffix, "GRAM_BYTES", shard)
     monkeypatch.setattr(suffix, "PIECE", 1 << 16 if seed == 1 else 300)
     monkeypatch.setattr(suffix, "_SPAN", 1 << 20 if seed == 1 else 257)
     values = texts(seed)
