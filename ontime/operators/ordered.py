@@ -7,30 +7,71 @@ offset, and the rest is a running sum inside each slice.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ontime.functions.values import real
 from ontime.schema import exact_columns
-from ontime.session import durable
+from ontime.session import kept
 
 
 def _columns(names: list[str]) -> list[Column]:
     return [F.col(n) for n in names]
 
 
+def _running(sums: list[str], by: list[str]):
+    """For a sorted slice: each row's sums over the earlier rows of its group in this slice, as <s>_inner."""
+
+    def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, carried = None, {s: 0 for s in sums}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            begins = np.zeros(batch.num_rows, bool)
+            for c in by:
+                codes = batch.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                begins[1:] |= codes[1:] != codes[:-1]
+            first, end = (tuple(batch.column(c)[i].as_py() for c in by) for i in (0, batch.num_rows - 1))
+            goes_on = last == first
+            begins[0] = True
+            starts = np.flatnonzero(begins)
+            group = np.cumsum(begins) - 1
+            inner = []
+            for s in sums:
+                values = batch.column(s).fill_null(0).to_numpy(zero_copy_only=False)
+                before = np.cumsum(values) - values
+                own = before - before[starts][group]
+                if goes_on:
+                    own[group == 0] += carried[s]
+                carried[s] = own[-1] + values[-1]
+                inner.append(pa.array(own, batch.column(s).type))
+            last = end
+            yield pa.RecordBatch.from_arrays([*batch.columns, *inner], names=[*batch.schema.names, *[f"_{s}_inner" for s in sums]])
+
+    return walked
+
+
 def running_totals(
     df: DataFrame, by: list[str], order: list[Column], sums: list[str], ranged: int | None = None
 ) -> DataFrame:
     """Add ``<s>_before`` (sum over earlier rows of the group) and ``<s>_total`` for every column in ``sums``.
 
-    ``order`` must be unique inside a group, so aggregate equal values first. The sliced rows are kept
-    in the shared work folder: slice bounds come from a sample, and both uses below must see the same ones.
+    ``order`` must be unique inside a group, so aggregate equal values first; the sums are of whole numbers. Rows are shuffled once, by range.
+    The slices are kept in the shared work folder with the running sums inside each: slice bounds come from a sample, and both
+    uses below must see the same ones. Then each slice only needs the totals of those before it.
     """
     keys = _columns(by) + order
+    df = df.withColumns({s: F.coalesce(F.col(s).cast("bigint"), F.lit(0)) for s in sums})
     sliced = df.repartitionByRange(ranged, *keys) if ranged else df.repartitionByRange(*keys)
-    sliced = durable(sliced.withColumn("_slice", F.spark_partition_id()))
+    sliced = sliced.withColumn("_slice", F.spark_partition_id()).sortWithinPartitions(*keys)
+    extra = [T.StructField(f"_{s}_inner", T.LongType()) for s in sums]
+    sliced = kept(sliced.mapInArrow(_running(sums, by), T.StructType(sliced.schema.fields + extra)), "slices")
 
-    # One row per slice and group: a group spans at most as many slices as there are partitions.
+    # One row per slice and group: a group spans at most as many slices as there are partitions. Kept too, so that Spark
+    # knows how small it is and moves it instead of the rows.
     per_slice = sliced.groupBy(*by, "_slice").agg(*[F.sum(s).alias(s) for s in sums])
     in_group = Window.partitionBy(*by) if by else Window.partitionBy()
     earlier_slices = in_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -40,23 +81,19 @@ def running_totals(
         *[F.coalesce(F.sum(s).over(earlier_slices), F.lit(0)).alias(f"_{s}_offset") for s in sums],
         *[F.sum(s).over(in_group).alias(f"{s}_total") for s in sums],
     )
+    offsets = kept(offsets, "offsets")
 
     same = F.col("_slice") == F.col("_s")
     for i, k in enumerate(by):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    in_slice = Window.partitionBy(*by, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        sliced.select("*", *[F.coalesce(F.sum(s).over(in_slice), F.lit(0)).alias(f"_{s}_inner") for s in sums])
-        .join(offsets, same)
-        .select(
-            *df.columns,
-            *[(F.col(f"_{s}_offset") + F.col(f"_{s}_inner")).alias(f"{s}_before") for s in sums],
-            *[F.col(f"{s}_total") for s in sums],
-        )
+    return sliced.join(offsets, same).select(
+        *df.columns,
+        *[(F.col(f"_{s}_offset") + F.col(f"_{s}_inner")).alias(f"{s}_before") for s in sums],
+        *[F.col(f"{s}_total") for s in sums],
     )
 
 
-def value_ranks(df: DataFrame, by: list[str], value: str) -> DataFrame:
+def value_ranks(df: DataFrame, by: list[str], value: str, ranged: int | None = None) -> DataFrame:
     """Each distinct value per group with its row count ``n`` and, over known values, running counts.
 
     A null value stays as a row with ``known`` 0, so groups without any known value are not lost.
@@ -66,7 +103,7 @@ def value_ranks(df: DataFrame, by: list[str], value: str) -> DataFrame:
     exact = value in exact_columns(df.schema)
     df = df.select(*by, (F.col(value) if exact else real(value)).alias(value))
     counts = df.groupBy(*by, value).agg(F.count("*").alias("n"), F.count(value).alias("known"))
-    return running_totals(counts, by, [F.col(value)], ["known"])
+    return running_totals(counts, by, [F.col(value)], ["known"], ranged)
 
 
 def pick_quantiles(ranks: DataFrame, by: list[str], value: str, wanted: dict[str, float], *extra: Column) -> DataFrame:

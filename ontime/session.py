@@ -65,6 +65,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """As ``durable``, but as a Parquet table, so that Spark knows its true size when it plans a join."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Set SQL options for the length of a block."""

@@ -111,3 +111,16 @@ def test_delay_by_keeps_groups_without_values(data):
     assert got["hot"].avg_delay == pytest.approx(np.mean(known("hot")))
     approx = {r.g: r.flight_count for r in P.delay_by(data, "g", "x").collect()}
     assert approx == {g: r.flight_count for g, r in got.items()}
+
+
+def test_rows_are_shuffled_once(spark):
+    """By range, when the slices are made; afterwards only the small totals move."""
+    from pyspark.sql import functions as F
+
+    from ontime.operators.ordered import running_totals
+
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), "id", F.lit(1).alias("n"))
+    out = running_totals(df, ["g"], [F.col("id")], ["n"], 5)
+    assert sorted((r.id, r.n_before, r.n_total) for r in out.collect()) == [(i, i // 3, 1000) for i in range(3000)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
