@@ -7,10 +7,11 @@ Two texts link when 100 * |A & B| >= percent * |A | B|. The answer is exact up t
    so of more than D blocks of the hash range, one at least must hold the same shingles in both. A leaf is (class, block, content). Blocks empty
    in both would meet by chance; there are enough blocks that a pair with only such in common has more empty ones
    than ``spare`` allows, and only those sets are sent to the leaves of empty blocks as well.
-3. In a leaf, each set is first held against the leaf's smallest id, and true links are joined into components.
-4. What a leaf still holds of different components is packed into nodes by size and counts. Shingles are hashed into groups, and the group
-   counts are the points; pairs of nodes and then pairs of points survive only if the sum of smaller
-   coordinates, an upper bound of the overlap, reaches the overlap that a link needs. Survivors are verified on whole sets.
+3. Shingles are hashed into groups, and the group counts are a set's point. Two points survive only if the sum of smaller coordinates, an upper
+   bound of the overlap, reaches the overlap that a link needs. Survivors are verified on whole sets.
+4. In a leaf, each set is first held against the leaf's smallest id, then, where components remain apart, against its set of most links: as a rule the
+   one that the others are copies of. What a leaf still holds of different components is packed into nodes in order of size and counts; pairs of nodes
+   whose bounds allow a link are compared point by point.
 
 Leaves and nodes are rows to join and sort, so that no leaf has to fit one task: a leaf's rows stream past its smallest id, and
 nodes are cut to a bounded number of rows.
@@ -26,19 +27,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ontime.llm import textblocks as B
 from ontime.llm.tables import components, runs, stored
+from ontime.operators.ordered import positions
 
-#: Groups of shingles; the counts of one text are a point with so many coordinates.
+#: Groups of a point at least; texts with more shingles have about as many groups as shingles, or half.
 GROUPS = 64
 #: Coordinates of a node's bounds: groups folded together.
 FOLDED = 16
-#: Rows of a node, about.
+#: Rows of a node at most.
 NODE_ROWS = 256
+#: Rows of a leaf that a task holds back to name the leaf after them.
+LEAF_ROWS = 50_000
+#: Binary logarithm of the bits in the map of candidates: 8 MB, which the driver gathers and sends out.
+BITMAP_BITS = 26
 #: Texts held against one other text in a task, about.
-VERIFY_ROWS = 2000
+VERIFY_ROWS = 500
 
 _U = np.uint64
 
@@ -84,9 +90,33 @@ def _described(values: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray
     return sizes, *prints
 
 
-def _counts(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    group = (values & _U(GROUPS - 1)).astype(np.int64)
-    return np.bincount(rows * GROUPS + group, minlength=n * GROUPS).reshape(n, GROUPS).astype(np.int32)
+def _points(values: np.ndarray, rows: np.ndarray, n: int) -> list[bytes]:
+    """Each row's point: shingles counted by the low bits of their hashes, a byte for each group.
+
+    With about as many groups as shingles nearly every difference of two sets shows. A row with a count above 255 gets an empty
+    cell, which bounds nothing.
+    """
+    edges = np.searchsorted(rows, np.arange(n + 1))
+    out = []
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        groups = max(GROUPS, 1 << max(0, int(b - a).bit_length() - 1))
+        counts = np.bincount((values[a:b] & _U(groups - 1)).astype(np.int64), minlength=groups)
+        out.append(counts.astype(np.uint8).tobytes() if counts.max(initial=0) <= 255 else b"")
+    return out
+
+
+def _folded(cell: bytes, groups: int) -> np.ndarray:
+    """The point over fewer groups; one that bounds nothing is as large as can be."""
+    counts = np.frombuffer(cell, np.uint8)
+    if not len(counts):
+        return np.full(groups, 1 << 30, np.int32)
+    return counts.reshape(-1, groups).sum(0, dtype=np.int32)
+
+
+def _bound(a: bytes, b: bytes) -> int:
+    """No more shingles than this are shared: the sum of the smaller coordinates."""
+    groups = min(len(a), len(b)) or GROUPS
+    return int(np.minimum(_folded(a, groups), _folded(b, groups)).sum(dtype=np.int64))
 
 
 class Classes:
@@ -158,26 +188,15 @@ def _text_blocks(batches: Iterator[pa.RecordBatch], width: int):
             yield batch.column("id").slice(block.first, block.rows), block, *shingle_sets(block, width)
 
 
-def _fixed(values: np.ndarray) -> pa.Array:
-    """Rows of a matrix as binary cells."""
-    size = values.shape[1] * values.itemsize
-    offsets = np.arange(len(values) + 1, dtype=np.int64) * size
-    cells = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(values), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
-    return cells.cast(pa.binary())
-
-
 def _summaries(docs: DataFrame, width: int) -> DataFrame:
     """id, size of the set, its fingerprint, and its point."""
 
     def summed(batches):
         for ids, block, values, rows in _text_blocks(batches, width):
             sizes, one, two = _described(values, rows, block.rows)
-            counts = _counts(values, rows, block.rows)
-            folded = counts.reshape(block.rows, FOLDED, -1).sum(2, dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(block.rows + 1, dtype=np.int32) * FOLDED), pa.array(folded.ravel()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(one), pa.array(two), lists, _fixed(counts)], names=["id", "n", "one", "two", "folded", "point"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(one), pa.array(two), pa.array(_points(values, rows, block.rows), pa.binary())], names=["id", "n", "one", "two", "point"])
 
-    return docs.mapInArrow(summed, f"id {docs.schema['id'].dataType.simpleString()}, n long, one long, two long, folded array<int>, point binary")
+    return docs.mapInArrow(summed, f"id {docs.schema['id'].dataType.simpleString()}, n long, one long, two long, point binary")
 
 
 def _leaf_rows(docs: DataFrame, width: int, classes: Classes) -> DataFrame:
@@ -205,32 +224,53 @@ def _leaf_rows(docs: DataFrame, width: int, classes: Classes) -> DataFrame:
 
 
 def _against_first(rows: DataFrame) -> DataFrame:
-    """(leaf, first, id) for each row of a leaf but that of its smallest id. Leaves with one id vanish here."""
+    """(leaf, first, id) for each row of a leaf but that of its smallest id. Leaves with one id vanish here.
+
+    Leaves that hold the same ids are one: a leaf is renamed after its ids, where it has no more of them than a task will wait for.
+    """
 
     def passed(batches):
-        leaf_now = first_now = last_id = None
+        held_leaf, held_ids, open_first = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+
+        def emit(leaf: np.ndarray, ids: np.ndarray, first: int | None = None, rename: bool = True) -> pa.RecordBatch:
+            """Whole leaves; or, with first, more of one that has begun."""
+            fresh = np.ones(len(leaf), bool)
+            fresh[1:] = (leaf[1:] != leaf[:-1]) | (ids[1:] != ids[:-1])
+            leaf, ids = leaf[fresh], ids[fresh]
+            starts = np.flatnonzero(np.append(True, leaf[1:] != leaf[:-1])) if len(leaf) else np.zeros(0, np.int64)
+            size = np.diff(np.append(starts, len(leaf)))
+            firsts = np.repeat(ids[starts], size) if first is None else np.full(len(ids), first)
+            if rename and len(leaf):
+                leaf = np.repeat(np.add.reduceat(B.mix(ids.view(_U)), starts).view(np.int64), size)
+            use = ids != firsts
+            return pa.RecordBatch.from_arrays([pa.array(x[use]) for x in (leaf, firsts, ids)], names=["leaf", "first", "id"])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            leaf, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("leaf", "id"))
-            begins = np.ones(len(leaf), bool)
-            begins[1:] = leaf[1:] != leaf[:-1]
-            begins[0] = leaf_now is None or leaf[0] != leaf_now
-            again = np.zeros(len(leaf), bool)
-            again[1:] = (ids[1:] == ids[:-1]) & ~begins[1:]
-            again[0] = not begins[0] and ids[0] == last_id
-            which = np.cumsum(begins) - 1
-            firsts = ids[begins]
-            first = firsts[np.maximum(which, 0)] if len(firsts) else np.full(len(ids), first_now, ids.dtype)
-            if not begins[0]:
-                first = np.where(which < 0, first_now, first)
-            leaf_now, first_now, last_id = leaf[-1], first[-1], ids[-1]
-            use = ~begins & ~again & (ids != first)
-            yield pa.RecordBatch.from_arrays([pa.array(leaf[use]), pa.array(first[use].astype(ids.dtype)), pa.array(ids[use])], names=["leaf", "first", "id"])
+            leaf = np.concatenate((held_leaf, batch.column("leaf").to_numpy()))
+            ids = np.concatenate((held_ids, batch.column("id").cast(pa.int64()).to_numpy()))
+            if open_first is not None:
+                # A leaf too large to wait for goes on; it keeps its own name.
+                end = int(np.searchsorted(leaf != open_first[0], True))
+                yield emit(leaf[:end], ids[:end], open_first[1], False)
+                open_first = open_first if end == len(leaf) else None
+                leaf, ids = leaf[end:], ids[end:]
+            if not len(leaf):
+                held_leaf, held_ids = leaf, ids
+                continue
+            changes = np.flatnonzero(leaf[1:] != leaf[:-1])
+            last = int(changes[-1]) + 1 if len(changes) else 0
+            yield emit(leaf[:last], ids[:last])
+            held_leaf, held_ids = leaf[last:], ids[last:]
+            if len(held_ids) > LEAF_ROWS:
+                yield emit(held_leaf, held_ids, int(held_ids[0]), False)
+                open_first = (held_leaf[0], int(held_ids[0]))
+                held_leaf, held_ids = held_leaf[:0], held_ids[:0]
+        yield emit(held_leaf, held_ids)
 
-    kind = rows.schema["id"].dataType.simpleString()
     ordered = rows.repartition("leaf").sortWithinPartitions("leaf", "id")
-    return ordered.mapInArrow(passed, f"leaf long, first {kind}, id {kind}")
+    return ordered.mapInArrow(passed, "leaf long, first long, id long").distinct()
 
 
 # ---- verification ------------------------------------------------------------------------------
@@ -241,102 +281,154 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link. Sets of the members stream past the set of a; a's with many members are cut."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    kind = docs.schema["id"].dataType.simpleString()
+def _needed(sizes, percent: int):
+    """A link needs 100 * o >= percent * (sizes - o), so (100 + percent) times its overlap o is at least this."""
+    return percent * sizes
 
-    def whole(batches):
-        for ids, block, values, rows in _text_blocks(batches, width):
-            edges = np.searchsorted(rows, np.arange(block.rows + 1))
-            sets = [values[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], names=["id", "hashes"])
 
-    sets = stored(docs.join(wanted, "id", "left_semi").mapInArrow(whole, f"id {kind}, hashes binary"), "sets")
-    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / VERIFY_ROWS).cast("int").alias("parts"))
-    members = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"), F.col("b").alias("id")).join(sets, "id")
-    heads = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"), F.col("a").alias("id")).join(sets, "id")
+def _possible(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose points allow a link."""
 
-    def checked(batches):
-        now, head = None, []
+    def bounded(batches):
         for batch in batches:
-            found = []
-            for a, part, side, other, cell in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "side", "id", "hashes"))):
-                if (a, part) != now:
-                    now, head = (a, part), []
-                values = np.frombuffer(cell, _U)
-                if not side:
-                    head.append(values)
-                elif any(linked(h, values, percent) for h in head):
-                    found.append((a, other))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], batch.column("a").type), pa.array([y for _, y in found], batch.column("a").type)], names=["a", "b"])
+            bound = np.array([_bound(a, b) for a, b in zip(batch.column("point_a").to_pylist(), batch.column("point_b").to_pylist())], np.int64)
+            sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array(bound >= -(-_needed(sizes, percent) // (100 + percent))))
 
-    rows = heads.unionByName(members).select("a", "part", "side", "id", "hashes")
-    return rows.repartition("a", "part").sortWithinPartitions("a", "part", "side").mapInArrow(checked, f"a {kind}, b {kind}").distinct()
+    for c in "ab":
+        pairs = pairs.join(points.select(F.col("id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "point")]), c)
+    kind = points.schema["id"].dataType.simpleString()
+    return pairs.mapInArrow(bounded, f"a {kind}, b {kind}").distinct()
 
 
-# ---- nodes of count vectors --------------------------------------------------------------------
+def _maybe(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id may be among the ids: a bitmap of fixed size, whatever the number of ids, leaves most others behind without a shuffle.
 
+    The more ids, the more rows pass; none of the ids is ever lost, and rows that pass by chance meet no pair later.
+    """
+
+    def place(values: pa.Array) -> np.ndarray:
+        return B.mix(values.cast(pa.int64()).to_numpy(zero_copy_only=False).view(_U)) >> _U(64 - BITMAP_BITS)
 
-def _overlap(a: str, b: str) -> Column:
-    """Sum of the smaller coordinates: no two sets with these counts share more shingles."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda total, x: total + x)
+    def marked(batches):
+        for batch in batches:
+            at = place(batch.column("id"))
+            words, which = np.unique((at >> _U(6)).astype(np.int64), return_inverse=True)
+            bits = np.zeros(len(words), _U)
+            np.bitwise_or.at(bits, which, _U(1) << (at & _U(63)))
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(bits.view(np.int64))], names=["word", "bits"])
 
+    rows = ids.mapInArrow(marked, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bitmap = np.zeros(1 << (BITMAP_BITS - 6), _U)
+    bitmap[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(_U)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
-def _can_link(bound: Column, sizes: Column, percent: int) -> Column:
-    """100 * o >= percent * (sizes - o), for an overlap o of at most the bound."""
-    return (100 + percent) * bound >= percent * sizes
+    def passed(batches):
+        for batch in batches:
+            batch = batch.filter(batch.column("id").is_valid())
+            at = place(batch.column("id"))
+            hit = (shared.value[(at >> _U(6)).astype(np.int64)] >> (at & _U(63))) & _U(1)
+            yield batch.filter(pa.array(hit.astype(bool)))
 
+    return docs.mapInArrow(passed, docs.schema)
 
-def _node_pairs(points: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one leaf and different components that the counts let link.
 
-    points: leaf, id, component, n, folded, point; one row for each leaf and id.
+def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets link. Texts of the members stream past that of a; an a with many members is cut."""
+    kind = texts.schema["id"].dataType.simpleString()
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / VERIFY_ROWS).cast("int").alias("parts"))
+    members = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"), F.col("b").alias("id"))
+    heads = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"), F.col("a").alias("id"))
+    places = stored(heads.union(members), "verify")
+    rows = places.join(_maybe(texts, places), "id").select("a", "part", "side", "id", "text")
+
+    def checked(batches):
+        now, head = None, []
+        for batch in batches:
+            found = []
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("a", "part", "side", "id"))))
+            for block in B.blocks(batch.column("text")):
+                values, row = shingle_sets(block, width)
+                edges = np.searchsorted(row, np.arange(block.rows + 1)).tolist()
+                for (a, part, side, other), begin, end in zip(keys[block.first :], edges, edges[1:]):
+                    if (a, part) != now:
+                        now, head = (a, part), []
+                    if not side:
+                        head.append(values[begin:end].copy())
+                    elif any(linked(h, values[begin:end], percent) for h in head):
+                        found.append((a, other))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], batch.column("a").type) for i in (0, 1)], names=["a", "b"])
+
+    ordered = rows.repartition("a", "part").sortWithinPartitions("a", "part", "side")
+    return ordered.mapInArrow(checked, f"a {kind}, b {kind}").distinct()
+
+
+# ---- nodes of count vectors --------------------------------------------------------------------
+
+
+def _node_pairs(rows: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one leaf and different components whose points allow a link.
+
+    rows: leaf, id, component, n; one row for each leaf and id.
     """
-    # Packed by size and by the counts' first half. A full cell is cut by hash, so a node is bounded, and no leaf is ordered as a whole.
-    half = F.aggregate(F.slice("folded", 1, FOLDED // 2), F.lit(0).cast("long"), lambda t, x: t + x)
-    cells = points.withColumns({"tall": F.floor(F.log("n") / float(np.log(1.05))), "wide": F.floor(half / (1 + 0.05 * F.col("n")))})
-    cell = ["leaf", "tall", "wide"]
-    cuts = cells.groupBy(*cell).agg(F.ceil(F.count("*") / NODE_ROWS).alias("cuts"))
-    packed = cells.join(cuts, cell).withColumn("node", F.xxhash64("tall", "wide", F.pmod(F.xxhash64("id"), F.col("cuts"))))
-    packed = stored(packed.select("leaf", "node", "id", "component", "n", "folded", "point"), "nodes")
-
-    low, high = [F.min(F.col("folded")[i]) for i in range(FOLDED)], [F.max(F.col("folded")[i]) for i in range(FOLDED)]
-    nodes = packed.groupBy("leaf", "node").agg(F.min("n").alias("small"), F.max("n").alias("large"), F.array(*high).alias("high"), F.min("component").alias("c0"), F.max("component").alias("c1"))
-    one = nodes.select("leaf", *[F.col(c).alias(f"{c}_a") for c in nodes.columns[1:]])
-    two = nodes.select("leaf", *[F.col(c).alias(f"{c}_b") for c in nodes.columns[1:]])
-    sized = (100 * F.col("large_a") >= percent * F.col("small_b")) & (100 * F.col("large_b") >= percent * F.col("small_a"))
+    kind = rows.schema["id"].dataType.simpleString()
+    sizes = rows.groupBy("leaf").agg(F.count("*").alias("held"))
+    rows = stored(rows.join(sizes, "leaf"), "leaf-rows")
+    # A leaf that fits a node is one. Larger ones are cut in order of size, without a leaf having to fit a task.
+    small = rows.where(F.col("held") <= NODE_ROWS).select("leaf", F.lit(0).cast("long").alias("node"), "id", "component", "n")
+    large = rows.where(F.col("held") > NODE_ROWS).drop("held")
+    placed = positions(large, ["leaf"], [F.col("n"), F.col("id")]).withColumn("node", F.floor(F.col("position") / NODE_ROWS))
+    packed = stored(small.union(placed.select("leaf", "node", "id", "component", "n")), "nodes")
+
+    nodes = packed.groupBy("leaf", "node").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+    one, two = (nodes.select("leaf", *[F.col(c).alias(f"{c}_{side}") for c in nodes.columns[1:]]) for side in "ab")
+    sized = (100 * F.col("high_a") >= percent * F.col("low_b")) & (100 * F.col("high_b") >= percent * F.col("low_a"))
     mixed = (F.least("c0_a", "c0_b") != F.greatest("c1_a", "c1_b")) & (F.col("node_a") <= F.col("node_b"))
-    tiles = one.join(two, "leaf").where(mixed & sized & _can_link(_overlap("high_a", "high_b"), F.col("small_a") + F.col("small_b"), percent))
-    tiles = stored(tiles.select("leaf", "node_a", "node_b"), "tiles")
+    tiles = stored(one.join(two, "leaf").where(mixed & sized).select("leaf", "node_a", "node_b"), "tiles")
 
     def side(mine: str, number: int, use: DataFrame) -> DataFrame:
-        rows = packed.withColumnRenamed("node", mine).drop("folded")
-        return use.join(rows, ["leaf", mine]).select("leaf", "node_a", "node_b", F.lit(number).alias("side"), "id", "component", "n", "point")
+        return use.join(packed.withColumnRenamed("node", mine), ["leaf", mine]).select("leaf", "node_a", "node_b", F.lit(number).alias("side"), "id", "component", "n")
 
-    kind = points.schema["id"].dataType.simpleString()
+    def once(found: list[np.ndarray]) -> pa.RecordBatch:
+        """A pair that several leaves hold goes on once."""
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     def compared(batches):
+        found, waiting = [], 0
         for tile in runs(batches, ["leaf", "node_a", "node_b"]):
             second = tile.column("side").to_numpy() == 1
             ids, parts, sizes = (tile.column(c).to_numpy() for c in ("id", "component", "n"))
-            counts = np.frombuffer(b"".join(tile.column("point").to_pylist()), np.int32).reshape(-1, GROUPS)
+            cells = tile.column("point").to_pylist()
+            groups = min((len(c) for c in cells if c), default=GROUPS)
+            counts = np.stack([_folded(c, groups) for c in cells])
             a = np.flatnonzero(~second)
             b = np.flatnonzero(second) if second.any() else a
+            # The nodes' own bounds first: corners of the boxes around their points.
+            folded = counts.reshape(len(counts), FOLDED, -1).sum(2, dtype=np.int64)
+            corner = np.minimum(folded[a].max(0, initial=0), folded[b].max(0, initial=0)).sum()
+            if not len(a) or not len(b) or (100 + percent) * corner < _needed(sizes[a].min() + sizes[b].min(), percent):
+                continue
             differ = parts[a][:, None] != parts[b][None, :]
             if b is a:
                 differ &= np.triu(np.ones(differ.shape, bool), 1)
             i, j = np.nonzero(differ)
-            for at in range(0, len(i), 1 << 16):
-                x, y = a[i[at : at + (1 << 16)]], b[j[at : at + (1 << 16)]]
+            step = max(1, (1 << 22) // groups)
+            for at in range(0, len(i), step):
+                x, y = a[i[at : at + step]], b[j[at : at + step]]
                 bound = np.minimum(counts[x], counts[y]).sum(1, dtype=np.int64)
-                use = (100 + percent) * bound >= percent * (sizes[x] + sizes[y])
+                use = (100 + percent) * bound >= _needed(sizes[x] + sizes[y], percent)
                 x, y = ids[x[use]], ids[y[use]]
-                low, high = np.minimum(x, y), np.maximum(x, y)
-                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
-
-    rows = side("node_a", 0, tiles).union(side("node_b", 1, tiles.where("node_a != node_b")))
-    ordered = rows.repartition("leaf", "node_a", "node_b").sortWithinPartitions("leaf", "node_a", "node_b", "side")
+                found.append(np.column_stack((np.minimum(x, y), np.maximum(x, y))))
+                waiting += len(x)
+            if waiting > 1 << 18:
+                yield once(found)
+                found, waiting = [], 0
+        if waiting:
+            yield once(found)
+
+    tiled = side("node_a", 0, tiles).union(side("node_b", 1, tiles.where("node_a != node_b"))).join(points, "id")
+    ordered = tiled.repartition("leaf", "node_a", "node_b").sortWithinPartitions("leaf", "node_a", "node_b", "side")
     return ordered.mapInArrow(compared, f"a {kind}, b {kind}").distinct()
 
 
@@ -353,31 +445,51 @@ def classes(df: DataFrame, id: str = "doc_id", text: str = "text", percent: int
     members = stored(known.join(known.groupBy(*same).agg(F.min("id").alias("first")), same).select("id", "first").distinct(), "sets-copies")
     shared = stored(_against_first(_leaf_rows(docs, width, sizing)), "leaves")
 
-    # Every document stands for itself by the first of its copies.
+    # Every document stands for itself by the first of its copies; texts of those that share a leaf are needed again.
     met = shared.select("first", "id").distinct()
     left, right = (members.select(F.col("id").alias(x), F.col("first").alias(y)) for x, y in (("first", "a"), ("id", "b")))
-    met = met.join(left, "first").join(right, "id").where("a != b")
-    points = known.select("id", "n", "folded", "point").distinct()
-    of = lambda c: points.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("folded").alias(f"folded_{c}"))
-    asked = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    possible = _can_link(_overlap("folded_a", "folded_b"), F.col("n_a") + F.col("n_b"), percent)
-    asked = stored(asked.join(of("a"), "a").join(of("b"), "b").where(possible).select("a", "b").distinct(), "pairs")
-    links = stored(_verify(asked, docs, width, percent), "links")
+    met = stored(met.join(left, "first").join(right, "id").where("a != b"), "met")
+    ends = met.select(F.col("a").alias("id")).union(met.select(F.col("b").alias("id"))).distinct()
+    ends = stored(ends, "candidates")
+    texts = stored(_maybe(docs, ends), "texts")
+    sets = stored(_maybe(known.select("id", "n", "point"), ends), "points")
+    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+
+    asked = stored(_possible(met.select(*ordered("a", "b")).distinct(), sets, percent), "pairs")
+    links = stored(_verify(asked, texts, width, percent), "links")
     grouped = components(links.union(members.where("id != first")), *links.columns)
 
-    # Leaves that still hold several components.
-    part = lambda c: grouped.select(F.col("id").alias(c), F.col("component").alias(f"component_{c}"))
-    component = lambda c: F.coalesce(f"component_{c}", c)
-    apart = met.join(part("a"), "a", "left").join(part("b"), "b", "left").where(component("a") != component("b")).select("first", "id").distinct()
-    open_leaves = shared.join(apart, ["first", "id"], "left_semi").select("leaf").distinct()
-    held = stored(shared.join(open_leaves, "leaf", "left_semi"), "open-leaves")
-    rows = held.select("leaf", "id").union(held.select("leaf", "first")).distinct()
-    rows = rows.join(members, "id").select("leaf", F.col("first").alias("id")).distinct().join(points, "id")
-    rows = rows.join(part("id"), "id", "left").withColumn("component", component("id"))
-    more = stored(_node_pairs(rows, percent).join(asked, ["a", "b"], "left_anti"), "pairs")
+    def apart(rows: DataFrame) -> DataFrame:
+        """Rows (leaf, id) of leaves that hold several components, with the component."""
+        parted = rows.join(grouped.select("id", "component"), "id", "left").select("leaf", "id", F.coalesce("component", "id").alias("component"))
+        open_leaves = parted.groupBy("leaf").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1")
+        return stored(parted.join(open_leaves, "leaf", "left_semi"), "open-leaves")
+
+    # Only leaves whose smallest id is apart from another of the leaf are open; what they hold is listed once.
+    stands = met.join(grouped.select(F.col("id").alias("a"), F.col("component").alias("x")), "a", "left").join(grouped.select(F.col("id").alias("b"), F.col("component").alias("y")), "b", "left")
+    stands = stands.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("first", "id").distinct()
+    open_leaves = shared.join(stands, ["first", "id"], "left_semi").select("leaf").distinct()
+    held = shared.join(open_leaves, "leaf", "left_semi")
+    held = held.select("leaf", "id").union(held.select("leaf", "first").distinct())
+    held = apart(held.join(members, "id").select("leaf", F.col("first").alias("id")).distinct())
+
+    # The set of most links in each leaf, against those apart from it.
+    degrees = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("links"))
+    ranked = held.join(degrees, "id", "left").fillna(0, ["links"])
+    hubs = ranked.groupBy("leaf").agg(F.max(F.struct("links", "id", "component")).alias("hub"))
+    tried = held.join(hubs, "leaf").where(F.col("component") != F.col("hub.component")).select(*ordered("id", "hub.id")).distinct()
+    tried = stored(_possible(tried.join(asked, ["a", "b"], "left_anti"), sets, percent), "pairs")
+    more = stored(_verify(tried, texts, width, percent), "links")
+    star = lambda: grouped.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
     if not more.isEmpty():
-        links = _verify(more, docs, width, percent)
-        grouped = components(links.union(grouped.where("id != component")), *links.columns)
+        grouped = components(more.union(star()), "a", "b")
+        held = apart(held.select("leaf", "id"))
+
+    # All others of different components.
+    rest = _node_pairs(held.join(sets.select("id", "n"), "id"), sets.drop("n"), percent)
+    rest = stored(rest.join(asked.union(tried), ["a", "b"], "left_anti"), "pairs")
+    if not rest.isEmpty():
+        grouped = components(_verify(rest, texts, width, percent).union(star()), "a", "b")
 
     found = grouped.select("id", "component").distinct()
     return summary.join(found, "id", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))

@@ -99,6 +99,25 @@ def test_linked_sets_share_a_leaf(n, seed, percent):
         assert set(leaf[row == 0].tolist()) & set(leaf[row == 1].tolist())
 
 
+@pytest.mark.parametrize("limit", [1, 3, 50_000])
+def test_leaves_named_after_their_ids(spark, limit, monkeypatch):
+    monkeypatch.setattr(jaccard, "LEAF_ROWS", limit)
+    groups = {1: [5, 9, 9], 2: [5, 9], 3: [7], 4: [5, 9, 11], 5: [11, 5, 9, 5], 6: [2, 3], 7: list(range(20, 60))}
+    rows = [(leaf, i) for leaf, ids in groups.items() for i in ids]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        got = jaccard._against_first(spark.createDataFrame(rows, "leaf long, id long")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    made = {}
+    for r in got:
+        made.setdefault((r.leaf, r.first), set()).add(r.id)
+    want = {(min(g), tuple(sorted(set(g) - {min(g)}))) for g in groups.values() if len(set(g)) > 1}
+    assert {(first, tuple(sorted(ids))) for (_, first), ids in made.items()} == want
+    assert limit < 50_000 or len(made) == len(want)
+
+
 def test_empty_blocks_meet_when_nothing_else_does():
     """Sets crowded into few blocks have too many empty ones; these are sent as well."""
     kinds = jaccard.Classes(85)
@@ -111,8 +130,11 @@ def test_bound_is_never_below_the_overlap():
     rng = np.random.default_rng(5)
     for _ in range(50):
         a, b = (np.unique(rng.integers(0, 500, 300, dtype=np.uint64)) for _ in range(2))
-        counts = jaccard._counts(np.concatenate((a, b)), np.repeat([0, 1], [len(a), len(b)]), 2)
-        assert np.minimum(*counts).sum() >= len(np.intersect1d(a, b))
+        b = b[: int(rng.integers(1, len(b)))]
+        values, rows = np.concatenate((a, b)), np.repeat([0, 1], [len(a), len(b)])
+        both = len(np.intersect1d(a, b))
+        assert jaccard._bound(*jaccard._points(values, rows, 2)) >= both
+        assert jaccard._bound(b"", jaccard._points(values, rows, 2)[0]) >= both
 
 
 def test_cases(spark):
