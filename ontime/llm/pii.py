@@ -19,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ontime.llm.tables import hash_sample
+
 #: Fixed order of kinds.
 KINDS = ("email", "ip", "card", "phone")
 _ORDER = {k: i for i, k in enumerate(KINDS)}
@@ -249,7 +251,7 @@ _ARROW_FOUND = pa.struct([("base", pa.list_(_ARROW_SPAN)), ("spans", pa.list_(_A
 
 
 def fit(df: DataFrame, text: str = "text", max_rows: int = FIT_ROWS) -> Model:
-    """Train on at most max_rows texts that hold a digit or "@": those of smallest hash, so that any run picks the same.
+    """Train on at most max_rows distinct texts that hold a digit or "@", picked by hash.
 
     The driver gets their nodes and edges, not their texts.
     """
@@ -265,7 +267,7 @@ def fit(df: DataFrame, text: str = "text", max_rows: int = FIT_ROWS) -> Model:
                 yield pa.RecordBatch.from_pylist([{"features": packed, "labels": labels.tolist(), "edges": found.edges.ravel().tolist()}], layout)
 
     column = F.col(f"`{text}`")
-    sample = df.select(column.alias("t")).where(F.col("t").rlike("[0-9@]")).orderBy(F.xxhash64("t"), "t").limit(max_rows)
+    sample = hash_sample(df.select(column.alias("t")).where(F.col("t").rlike("[0-9@]")), F.col("t"), max_rows)
     rows = sample.mapInArrow(nodes, "features binary, labels array<long>, edges array<long>").collect()
     features, labels, edges, n = [np.zeros((0, FEATURES))], [np.zeros(0, np.int64)], [np.zeros((0, 3), np.int64)], 0
     width = (FEATURES + 7) // 8

@@ -20,15 +20,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
-    """About nine tenths of ``rows`` rows, and never more, picked by hash; all of them when there are fewer.
+    """About nine tenths of ``rows`` distinct rows, and never more, picked by hash; all of them when there are fewer.
 
-    A count sets the share of hash values to take, so that no task sends on more than its part of the sample.
+    A count sets the share of hash values to take, so that no task sends on more than its part of the sample. Copies count once
+    in the sample, however many there are of a picked one.
     """
     n = df.count()
-    if n <= rows:
-        return df
-    span = 1 << 31
-    return df.where(F.pmod(F.xxhash64(key), F.lit(span)) < int(0.9 * rows / n * span)).limit(rows)
+    if n > rows:
+        span = 1 << 31
+        df = df.where(F.pmod(F.xxhash64(key), F.lit(span)) < int(0.9 * rows / n * span))
+    return df.distinct().limit(rows)
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

@@ -18,6 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ontime.llm.quality import spare_name
+from ontime.llm.tables import hash_sample
 from ontime.session import durable
 
 #: Largest number of labelled URLs that the trees learn from.
@@ -112,9 +113,9 @@ def _featured(df: DataFrame, url: str, known: DataFrame) -> DataFrame:
 
 
 def fit(labelled: DataFrame, url: str = "url", verdict: str = "verdict", max_rows: int = FIT_ROWS, rounds: int = 10, depth: int = 4) -> Model:
-    """Boosted trees from at most max_rows distinct labelled URLs: those of smallest hash."""
+    """Boosted trees from at most max_rows distinct labelled URLs, picked by hash."""
     examples = labelled.select(F.col(f"`{url}`").alias("u"), (F.col(f"`{verdict}`") == "block").cast("double").alias("label")).where("u IS NOT NULL AND label IS NOT NULL")
-    sample = durable(examples.distinct().orderBy(F.xxhash64("u"), "u", "label").limit(max_rows))
+    sample = durable(hash_sample(examples, F.col("u"), max_rows))
     known = sample.groupBy(suffix(F.col("u")).alias("suffix")).agg(F.count("*").alias("n"), F.sum("label").alias("blocked"))
     low, high = sample.agg(F.min("label"), F.max("label")).first()
     if low is None or low == high:

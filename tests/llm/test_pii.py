@@ -99,3 +99,15 @@ def test_mask_and_cases(spark):
     empty = df.limit(0)
     assert pii.mask(empty, pii.fit(empty)).count() == 0
     assert pii.masked("abcdef", [("card", 1, 3), ("phone", 2, 5)]) == "a<CARD>f"
+
+
+def test_sample_is_bounded_and_copies_count_once(spark):
+    from pyspark.sql import functions as F
+
+    from ontime.llm.tables import hash_sample
+
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+    got = [r.k for r in hash_sample(df, F.col("k"), 1000).collect()]
+    assert 400 < len(got) <= 1000 and len(set(got)) == len(got)
+    assert hash_sample(df.limit(0), F.col("k"), 10).count() == 0
+    assert hash_sample(spark.range(5), F.col("id"), 10).count() == 5
