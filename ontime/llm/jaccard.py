@@ -23,6 +23,7 @@ are not read. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,7 @@ GROUPS = 64
 #: Coordinates of a node's bounds: groups folded together.
 FOLDED = 16
 #: Rows of a node at most.
-NODE_ROWS = 256
+NODE_ROWS = 1024
 #: Rows of a leaf that a task holds back to name the leaf after them.
 LEAF_ROWS = 50_000
 #: Binary logarithm of the bits in the map of candidates: 8 MB, which the driver gathers and sends out.
@@ -93,21 +94,24 @@ def _described(values: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray
 def _points(values: np.ndarray, rows: np.ndarray, n: int) -> list[bytes]:
     """Each row's point: shingles counted by the low bits of their hashes, a byte for each group.
 
-    With about as many groups as shingles nearly every difference of two sets shows. A row with a count above 255 gets an empty
-    cell, which bounds nothing.
+    With about as many groups as shingles nearly every difference of two sets shows. Most counts are 0 to 2, so cells are
+    compressed. A row with a count above 255 gets an empty cell, which bounds nothing.
     """
     edges = np.searchsorted(rows, np.arange(n + 1))
     out = []
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
         groups = max(GROUPS, 1 << max(0, int(b - a).bit_length() - 1))
         counts = np.bincount((values[a:b] & _U(groups - 1)).astype(np.int64), minlength=groups)
-        out.append(counts.astype(np.uint8).tobytes() if counts.max(initial=0) <= 255 else b"")
+        out.append(zlib.compress(counts.astype(np.uint8).tobytes(), 1) if counts.max(initial=0) <= 255 else b"")
     return out
 
 
-def _folded(cell: bytes, groups: int) -> np.ndarray:
+def _opened(cell: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(cell), np.uint8) if cell else np.zeros(0, np.uint8)
+
+
+def _folded(counts: np.ndarray, groups: int) -> np.ndarray:
     """The point over fewer groups; one that bounds nothing is as large as can be."""
-    counts = np.frombuffer(cell, np.uint8)
     if not len(counts):
         return np.full(groups, 1 << 30, np.int32)
     return counts.reshape(-1, groups).sum(0, dtype=np.int32)
@@ -115,8 +119,9 @@ def _folded(cell: bytes, groups: int) -> np.ndarray:
 
 def _bound(a: bytes, b: bytes) -> int:
     """No more shingles than this are shared: the sum of the smaller coordinates."""
-    groups = min(len(a), len(b)) or GROUPS
-    return int(np.minimum(_folded(a, groups), _folded(b, groups)).sum(dtype=np.int64))
+    x, y = _opened(a), _opened(b)
+    groups = min(len(x), len(y)) or GROUPS
+    return int(np.minimum(_folded(x, groups), _folded(y, groups)).sum(dtype=np.int64))
 
 
 class Classes:
@@ -399,8 +404,8 @@ def _node_pairs(rows: DataFrame, points: DataFrame, percent: int) -> DataFrame:
         for tile in runs(batches, ["leaf", "node_a", "node_b"]):
             second = tile.column("side").to_numpy() == 1
             ids, parts, sizes = (tile.column(c).to_numpy() for c in ("id", "component", "n"))
-            cells = tile.column("point").to_pylist()
-            groups = min((len(c) for c in cells if c), default=GROUPS)
+            cells = [_opened(c) for c in tile.column("point").to_pylist()]
+            groups = min((len(c) for c in cells if len(c)), default=GROUPS)
             counts = np.stack([_folded(c, groups) for c in cells])
             a = np.flatnonzero(~second)
             b = np.flatnonzero(second) if second.any() else a
