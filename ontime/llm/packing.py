@@ -4,7 +4,9 @@ Documents are tokenised once and cut only if they are longer than a sequence. Pi
 shard several islands breed packings of the same pieces: a crossover puts whole well-filled sequences of one parent into the other,
 drops the other's sequences that hold any of the same pieces, and packs what was displaced by best fit. After each round an island
 gets the best packing of the island before it. Shards are rows, so islands run wherever Spark puts them, and migration
-is a join. Sequences that stay badly filled are dissolved and their pieces dealt again, into fewer shards, until one shard is left.
+is a join. Sequences that stay badly filled are dissolved and their pieces dealt again, until one shard is left or dealing again
+saves too few sequences to go on; of the last two packings the one with fewer sequences stays. So every level but the last
+saves a share of its sequences, and no shard has to hold more than its part, however badly the pieces fit together.
 
 Breeding ends as soon as a packing needs no more sequences than the sum of lengths demands. Random numbers are seeded by shard and
 island, so a lost task gives the same packing again.
@@ -36,6 +38,8 @@ GENERATIONS = 3
 POPULATION = 4
 #: A sequence filled less than this is dissolved while several shards are left.
 WELL_FILLED = 0.97
+#: A level that saves no more than one in so many of the sequences it dissolved is the last.
+LEAST_SAVED = 256
 #: Runs of one kind of character longer than this go through the reference tokeniser.
 LONG_RUN = 100_000
 
@@ -221,9 +225,10 @@ def _round(islands: DataFrame, number: int, capacity: int) -> DataFrame:
     return islands.mapInArrow(bred, _ISLAND)
 
 
-def _evolved(items: DataFrame, shards: int, capacity: int) -> DataFrame:
+def _evolved(items: DataFrame, shards: int, level: int, capacity: int) -> DataFrame:
     """(shard, items, sizes, bins): the best packing of each shard. items: item, length."""
-    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item", F.lit(shards)), F.lit(shards)).cast("long"))
+    # With the level, so that as many shards as before still hold other pieces.
+    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item", F.lit(shards), F.lit(level)), F.lit(shards)).cast("long"))
     # Hashed, a shard holds about SHARD pieces: its list is bounded.
     listed = dealt.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("item", "length"))).alias("all"))
     start = listed.select("shard", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"), F.col("all.item").alias("items"), F.col("all.length").cast("array<int>").alias("sizes"))
@@ -240,27 +245,34 @@ def _evolved(items: DataFrame, shards: int, capacity: int) -> DataFrame:
 
 
 def assign(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """(item, sequence_id, offset) for pieces (item, length) of at most ``capacity`` tokens; items are distinct and not negative."""
-    spark, out, level = items.sparkSession, [], 0
+    """(item, sequence_id, offset) for pieces (item, length) of at most ``capacity`` tokens; items are distinct and not negative.
+
+    A sequence is called by its smallest item.
+    """
+    placed = ("item", "sequence_id", "offset")
     full = items.where(F.col("length") == capacity)
-    out.append(full.select("item", (-F.col("item") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
-    left = items.where(F.col("length") < capacity).select("item", "length")
-    while True:
-        shards = max(1, -(-left.count() // SHARD))
-        rows = _evolved(left, shards, capacity).select("shard", F.explode(F.arrays_zip("items", "sizes", "bins")).alias("r"))
+    out = [full.select("item", F.col("item").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
+    left, level = items.where(F.col("length") < capacity).select("item", "length"), 0
+    n, before, weak = left.count(), None, None
+    while n:
+        shards = -(-n // SHARD)
+        rows = _evolved(left, shards, level, capacity).select("shard", F.explode(F.arrays_zip("items", "sizes", "bins")).alias("r"))
         rows = rows.select("shard", F.col("r.items").alias("item"), F.col("r.sizes").cast("long").alias("length"), F.col("r.bins").alias("bin"))
         in_bin = Window.partitionBy("shard", "bin")
-        before = in_bin.orderBy("item").rowsBetween(Window.unboundedPreceding, -1)
-        rows = rows.select("*", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"), F.sum("length").over(in_bin).alias("fill"))
-        rows = stored(rows, "packed")
-        # Levels, shards and bins of a shard number below 2**5, 2**38 and 2**20.
-        number = F.lit(level) * (1 << 58) + F.col("shard") * (1 << 20) + F.col("bin")
-        done = rows if shards == 1 else rows.where(F.col("fill") >= WELL_FILLED * capacity)
-        out.append(done.select("item", number.alias("sequence_id"), "offset"))
-        if shards == 1:
+        ahead = in_bin.orderBy("item").rowsBetween(Window.unboundedPreceding, -1)
+        offset = F.coalesce(F.sum("length").over(ahead), F.lit(0)).alias("offset")
+        rows = stored(rows.select("item", "length", F.min("item").over(in_bin).alias("sequence_id"), offset, F.sum("length").over(in_bin).alias("fill")), "packed")
+        thin, first = F.col("fill") < WELL_FILLED * capacity, (F.col("item") == F.col("sequence_id")).cast("long")
+        made, thinner, left_over = rows.agg(F.sum(first), F.coalesce(F.sum(F.when(thin, first)), F.lit(0)), F.count(F.when(thin, 1))).first()
+        if before is not None and made > before:
+            out.append(weak)
+            break
+        if shards == 1 or (before is not None and (before - made) * LEAST_SAVED <= before):
+            out.append(rows.select(*placed))
             break
-        left = rows.where(F.col("fill") < WELL_FILLED * capacity).select("item", "length")
-        level += 1
+        out.append(rows.where(~thin).select(*placed))
+        weak, left = rows.where(thin).select(*placed), rows.where(thin).select("item", "length")
+        n, before, level = left_over, thinner, level + 1
     total = out[0]
     for part in out[1:]:
         total = total.union(part)

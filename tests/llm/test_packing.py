@@ -104,3 +104,29 @@ def test_breeding_beats_best_fit_where_that_fails():
 def test_cuts():
     assert packing.cuts(1) == [(0, 1)] and packing.cuts(2048) == [(0, 2048)] and packing.cuts(4096) == [(0, 2048), (2048, 2048)]
     assert packing.cuts(2049) == [(0, 1), (1, 2048)]
+
+
+@pytest.mark.parametrize("sizes", [[1500] * 300, [1100] * 400, [1900] * 150 + [int(n) for n in np.random.default_rng(2).integers(2, 1200, 300)]])
+def test_pieces_that_fit_badly_end_in_as_few_sequences_as_one_shard_needs(spark, monkeypatch, sizes):
+    """More than a shard of pieces, a large part of one length, that never reach WELL_FILLED."""
+    monkeypatch.setattr(packing, "SHARD", 100)
+    levels, evolved = [], packing._evolved
+
+    def counted(*args):
+        levels.append(args)
+        assert len(levels) < 10, "the levels do not end"
+        return evolved(*args)
+
+    monkeypatch.setattr(packing, "_evolved", counted)
+    df = spark.createDataFrame(list(enumerate(sizes)), "item long, length long")
+    rows = packing.assign(df).collect()
+    assert sorted(r.item for r in rows) == list(range(len(sizes)))
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r.sequence_id].append((r.offset, sizes[r.item]))
+    for spans in bins.values():
+        spans.sort()
+        assert [a for a, _ in spans] == [sum(n for _, n in spans[:k]) for k in range(len(spans))]
+        assert sum(n for _, n in spans) <= 2048
+    whole = packing.best_fit(sorted(range(len(sizes)), key=lambda i: -sizes[i]), sizes, 2048)
+    assert len(bins) <= 1.02 * len(whole)
