@@ -8,12 +8,16 @@ is a join. Sequences that stay badly filled are dissolved and their pieces dealt
 saves too few sequences to go on; of the last two packings the one with fewer sequences stays. So every level but the last
 saves a share of its sequences, and no shard has to hold more than its part, however badly the pieces fit together.
 
+With a source column, pieces are numbered in the order of the mixture (the slots of ``mixing``, worked out from the same documents)
+and dealt by ranges of that order. A sequence is called by its first piece, so sequences in the order of their ids keep the shares of
+the mixture as far as a block and a shard allow.
+
 Breeding ends as soon as a packing needs no more sequences than the sum of lengths demands. Random numbers are seeded by shard and
 island, so a lost task gives the same packing again.
 
 Cases: a null or empty text is one piece that holds only the end token. A long text is cut whole, whatever its length. Repeated rows
 are packed each. A text that the fast tokeniser refuses, or that spells a special token, goes through the reference tokeniser.
-Extra columns are not read. An empty table gives an empty table.
+Extra columns are not read; a null source is a source of its own. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -26,7 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ontime.llm import mixing
 from ontime.llm.tables import stored
+from ontime.operators.ordered import positions
 
 CAPACITY = 2048
 END = 0
@@ -91,23 +97,34 @@ def cuts(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 
 def _pieces(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, capacity: int) -> DataFrame:
+    """Pieces of each text; with a source, the first of a text also has that and the text's size."""
+    with_source = "source" in docs.columns
+
     def cut(batches: Iterator[pa.RecordBatch]):
         loaded = tokenizers_at(json_path, ranks_path, pattern)
         for batch in batches:
-            rows, piece, start, length, crc = [], [], [], [], []
+            rows, piece, start, length, crc, firsts, chars = [], [], [], [], [], [], []
             for i, text in enumerate(batch.column("text")):
-                ids = token_ids(text.as_py(), loaded)
+                text = text.as_py()
+                ids = token_ids(text, loaded)
                 for k, (a, n) in enumerate(cuts(len(ids), capacity)):
                     rows.append(i)
                     piece.append(k)
                     start.append(a)
                     length.append(n)
                     crc.append(zlib.crc32(ids[a : a + n].tobytes()))
+                    firsts.append(None if k else i)
+                    chars.append(None if k else len(text or ""))
             columns = [batch.column("id").take(pa.array(rows, pa.int32())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "piece", "start", "length", "ids_crc32"])
+            names = ["id", "piece", "start", "length", "ids_crc32"]
+            if with_source:
+                columns += [batch.column("source").take(pa.array(firsts, pa.int32())), pa.array(chars, pa.int64())]
+                names += ["source", "chars"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(cut, f"id {kind}, piece int, start long, length long, ids_crc32 long")
+    more = ", source string, chars long" if with_source else ""
+    return docs.mapInArrow(cut, f"id {kind}, piece int, start long, length long, ids_crc32 long{more}")
 
 
 # ---- breeding ----------------------------------------------------------------------------------
@@ -225,11 +242,17 @@ def _round(islands: DataFrame, number: int, capacity: int) -> DataFrame:
     return islands.mapInArrow(bred, _ISLAND)
 
 
-def _evolved(items: DataFrame, shards: int, level: int, capacity: int) -> DataFrame:
-    """(shard, items, sizes, bins): the best packing of each shard. items: item, length."""
+def _dealt(items: DataFrame, n: int, shards: int, level: int, ordered: bool) -> DataFrame:
+    """With the shard of each of the n items: a range of them if ordered, else by hash."""
+    if ordered:
+        return positions(items, [], [F.col("item")]).withColumn("shard", F.expr(f"position * {shards} div {n}")).drop("position")
     # With the level, so that as many shards as before still hold other pieces.
-    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item", F.lit(shards), F.lit(level)), F.lit(shards)).cast("long"))
-    # Hashed, a shard holds about SHARD pieces: its list is bounded.
+    return items.withColumn("shard", F.pmod(F.xxhash64("item", F.lit(shards), F.lit(level)), F.lit(shards)).cast("long"))
+
+
+def _evolved(dealt: DataFrame, capacity: int) -> DataFrame:
+    """(shard, items, sizes, bins): the best packing of each shard. dealt: item, length, shard."""
+    # Hashed or by ranges, a shard holds about SHARD pieces: its list is bounded.
     listed = dealt.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("item", "length"))).alias("all"))
     start = listed.select("shard", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"), F.col("all.item").alias("items"), F.col("all.length").cast("array<int>").alias("sizes"))
     none = F.lit(None).cast("array<int>")
@@ -244,10 +267,10 @@ def _evolved(items: DataFrame, shards: int, level: int, capacity: int) -> DataFr
     return islands.groupBy("shard").agg(best).select("shard", "best.*")
 
 
-def assign(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def assign(items: DataFrame, capacity: int = CAPACITY, ordered: bool = False) -> DataFrame:
     """(item, sequence_id, offset) for pieces (item, length) of at most ``capacity`` tokens; items are distinct and not negative.
 
-    A sequence is called by its smallest item.
+    A sequence is called by its smallest item. If ordered, a sequence holds pieces that are near each other by item.
     """
     placed = ("item", "sequence_id", "offset")
     full = items.where(F.col("length") == capacity)
@@ -256,7 +279,7 @@ def assign(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     n, before, weak = left.count(), None, None
     while n:
         shards = -(-n // SHARD)
-        rows = _evolved(left, shards, level, capacity).select("shard", F.explode(F.arrays_zip("items", "sizes", "bins")).alias("r"))
+        rows = _evolved(_dealt(left, n, shards, level, ordered), capacity).select("shard", F.explode(F.arrays_zip("items", "sizes", "bins")).alias("r"))
         rows = rows.select("shard", F.col("r.items").alias("item"), F.col("r.sizes").cast("long").alias("length"), F.col("r.bins").alias("bin"))
         in_bin = Window.partitionBy("shard", "bin")
         ahead = in_bin.orderBy("item").rowsBetween(Window.unboundedPreceding, -1)
@@ -279,9 +302,23 @@ def assign(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return total
 
 
-def pack(df: DataFrame, json_path: str, ranks_path: str, pattern: str, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """(id, piece, start, length, ids_crc32, sequence_id, offset) for each piece of each row."""
-    docs = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+def _mixed(pieces: DataFrame) -> DataFrame:
+    """The pieces, with items numbered in the order of the mixture: by the slot of their document, then as they were."""
+    # Pieces of a document are numbered one after the other.
+    heads = pieces.where("piece = 0").select("item", "id", "source", "chars")
+    size = F.col("chars")
+    placed = mixing.interleave(heads, mixing.tempered_weights(heads, "source", size), "source", size, ["id"])
+    pieces = pieces.drop("source", "chars").withColumn("head", F.col("item") - F.col("piece"))
+    slotted = pieces.join(placed.select(F.col("item").alias("head"), "slot"), "head").drop("head")
+    return positions(slotted, [], [F.col("slot"), F.col("item")]).drop("slot", "item").withColumnRenamed("position", "item")
+
+
+def pack(df: DataFrame, json_path: str, ranks_path: str, pattern: str, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, source: str | None = None) -> DataFrame:
+    """(id, piece, start, length, ids_crc32, sequence_id, offset) for each piece of each row. With a source column, in the order of the mixture."""
+    own = [F.col(f"`{source}`").cast("string").alias("source")] if source else []
+    docs = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), *own)
     # Items are numbered once and kept, so that a second run of a task can't renumber them.
     pieces = stored(_pieces(docs, json_path, ranks_path, pattern, capacity).withColumn("item", F.monotonically_increasing_id()), "pieces")
-    return pieces.join(assign(pieces.select("item", "length"), capacity), "item").drop("item")
+    if source:
+        pieces = stored(_mixed(pieces), "mixed")
+    return pieces.join(assign(pieces.select("item", "length"), capacity, bool(source)), "item").drop("item")

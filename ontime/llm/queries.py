@@ -106,11 +106,11 @@ def op7_license_dice(spark, sf_dir):
     return found.select("doc_id", F.size("m").cast("long").alias("n_matches"), F.concat_ws(",", names).alias("licenses"), F.array_max("m.dice").alias("best_dice"))
 
 
-def pack_documents(docs: DataFrame) -> DataFrame:
+def pack_documents(docs: DataFrame, source: str | None = None) -> DataFrame:
     """With the public byte-level vocabulary, in both of its forms."""
     import public_tokenizers as public
 
-    packed = packing.pack(docs, public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+    packed = packing.pack(docs, public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN, source=source)
     return packed.withColumnRenamed("id", "doc_id")
 
 

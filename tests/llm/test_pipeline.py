@@ -1,7 +1,9 @@
 """The pipeline stage by stage against brute force, each on what the one before kept."""
 
+import numpy as np
+
 import corpus_pipeline
-from ontime.llm import mixing, pii
+from ontime.llm import mixing, packing, pii
 from tests.llm import test_jaccard, test_packing, test_pii, test_quality
 
 SF = "/root/testdata/sf0.01"
@@ -92,3 +94,25 @@ def test_stages_on_odd_rows(spark, tmp_path):
             if name == "personal-data" and want:
                 assert all("<EMAIL>" in r.text for r in table.where("doc_id = 3").collect())
         assert {r.doc_id for r in table.collect()} == want
+
+
+def test_each_prefix_of_sequences_keeps_the_shares_of_the_mixture(spark, tmp_path, monkeypatch):
+    """On the rows of run(): a source of nine tenths of the characters gets three quarters, until the other runs out."""
+    rng = np.random.default_rng(5)
+    known = ["".join(w) for w in rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (4000, 5))]
+    rows = [(i, " ".join(rng.choice(known, 100)), "en", "cold" if i % 10 == 0 else "hot", 599) for i in range(7000)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(packing, "SHARD", 50)
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len({r.doc_id for r in got}) == len(rows)
+    seen = cold = 0
+    limit = 420_000 / 0.25
+    checked = 0
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        seen += 599
+        cold += 599 * (r.doc_id % 10 == 0)
+        if seen < limit - 2 * mixing.BLOCK:
+            # A block, and what a shard holds.
+            assert abs(cold - seen / 4) < mixing.BLOCK + 50 * 599
+            checked = cold
+    assert checked > 0.25 * limit * 0.75 and cold == 700 * 599
