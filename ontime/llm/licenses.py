@@ -5,13 +5,20 @@ a template when 2 * |A & B| >= limit * (|A| + |B|) over their bigrams, each coun
 parts and templates: with a share of at least the limit, the smaller has at least limit / (2 - limit) of the larger one's bigrams. Only parts
 with enough places whose bigram hash is in some template are compared; the comparison itself is on the words.
 
+Apart from matching parts, windows of words match as well: as long as a template, a quarter longer or half as long again (the largest a match can be),
+and cut to begin and end with a bigram of the template. Only where places with a known bigram lie dense enough for some window are
+windows compared, each in constant time from the one before. Of windows that overlap, the one of highest share counts, and none
+that overlaps a matching part. The templates of ``scan`` are notices and whole licences.
+
 Cases: null and empty texts, and parts of fewer than two words, match nothing. Repeated rows are scanned each. Only the text column is
 read, whatever other columns are called. Long texts are read whole. An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import pkgutil
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +67,24 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+_AS_IS = (
+    "THE SOFTWARE IS PROVIDED {0}, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+    "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+    "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+    "IN THE SOFTWARE."
+).format('"AS IS"')
+_FILES = ("Apache-2.0", "CC0-1.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0")
+#: Whole licences, beside the notices.
+WHOLE = {
+    "ISC whole": TEMPLATES["ISC"]
+    + ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+    "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+    "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR "
+    "IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "MIT whole": TEMPLATES["MIT text"] + " " + _AS_IS,
+    **{f"{name} whole": pkgutil.get_data(__name__, f"license_texts/{name}.txt").decode() for name in _FILES},
+}
+
 MATCH = T.StructType([T.StructField("license", T.StringType()), T.StructField("dice", T.DoubleType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 _ARROW = pa.list_(pa.struct([("license", pa.string()), ("dice", pa.float64()), ("start", pa.int64()), ("end", pa.int64())]))
 
@@ -127,14 +152,21 @@ def _parts(raw: bytes) -> list[tuple[int, int]]:
     return list(out)
 
 
-def _scan_block(block: B.Block, templates: Templates) -> list[list[dict]]:
-    plain = B.Block(block.first, _plain(block.data), block.bounds)
+def _hits(plain: B.Block, templates: Templates) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bounds and row of each word; the words that begin a bigram, and whether some template has it, by hash."""
     start, end, row = plain.words()
     pairs = np.flatnonzero(row[1:] == row[:-1])
     value = B.Rolling(plain.hashes().of(start, end)).of(pairs, pairs + 2)
     at = np.searchsorted(templates.hashes, value)
     at[at == len(templates.hashes)] = 0
-    hits = start[pairs[templates.hashes[at] == value]] if len(templates.hashes) else pairs[:0]
+    known = templates.hashes[at] == value if len(templates.hashes) else np.zeros(len(pairs), bool)
+    return start, end, row, pairs, known
+
+
+def _scan_block(block: B.Block, templates: Templates) -> list[list[dict]]:
+    plain = B.Block(block.first, _plain(block.data), block.bounds)
+    start, _, _, pairs, known = _hits(plain, templates)
+    hits = start[pairs[known]]
     out: list[list[dict]] = [[] for _ in range(block.rows)]
     for i in np.unique(block.row_of(hits)).tolist():
         low, high = block.bounds[i], block.bounds[i + 1]
@@ -155,11 +187,85 @@ def _scan_block(block: B.Block, templates: Templates) -> list[list[dict]]:
     return out
 
 
-def scan(text: str | Column, templates: dict[str, str] = TEMPLATES, limit: float = LIMIT) -> Column:
-    """All matching parts of each text: licence, coefficient, and the part's bounds in code points."""
+def _lengths(size: int, limit: float) -> list[int]:
+    return sorted({size, size * 5 // 4, int(size * (2 - limit) / limit + 1e-9)})
+
+
+def _slide(mine: list[tuple], begins: range, length: int, template: Counter, limit: float) -> Iterator[tuple[float, int, int]]:
+    """(share, first, last) of windows of bigrams that match: those of one length at each place to begin, cut to known ends."""
+    size, held, common = template.total(), Counter(), 0
+    until, last, low = begins.start, -1, begins.start
+    for i in begins:
+        for gone in mine[low:i]:
+            common -= held[gone] <= template[gone]
+            held[gone] -= 1
+        low = i
+        while until < min(i + length, len(mine)):
+            pair = mine[until]
+            held[pair] += 1
+            if pair in template:
+                last = until
+                common += held[pair] <= template[pair]
+            until += 1
+        share = 2 * common / (last - i + 1 + size) if last >= i else 0
+        if share >= limit and mine[i] in template:
+            yield share, i, last
+
+
+def _windows(block: B.Block, templates: Templates, parts: list[list[dict]]) -> list[list[dict]]:
+    """The matches of parts, and with them those of windows that overlap none of these."""
+    plain = B.Block(block.first, _plain(block.data), block.bounds)
+    start, end, row, pairs, known = _hits(plain, templates)
+    if not known.any():
+        return parts
+    total = np.concatenate(([0], np.cumsum(known)))
+    owner = row[pairs]
+    first_of = np.searchsorted(owner, np.arange(block.rows + 1))
+    places = np.flatnonzero(known)
+    stop = first_of[owner[places] + 1]
+    flat = plain.data.tobytes()
+    found: dict[int, list[tuple]] = {}
+    bigrams_of: dict[int, list[tuple]] = {}
+    for (name, template), size in zip(templates.sets, templates.sizes.tolist()):
+        # No window can match with fewer known places than this.
+        least = int(np.ceil(size * templates.limit / (2 - templates.limit) - 1e-9))
+        for length in _lengths(size, templates.limit) if size else []:
+            dense = places[total[np.minimum(places + length, stop)] - total[places] >= max(least, 1)]
+            if not len(dense):
+                continue
+            # Runs of places to begin, apart by more than a window or in different rows.
+            cut = np.flatnonzero((np.diff(dense) > length) | (np.diff(owner[dense]) > 0)) + 1
+            for run in np.split(dense, cut):
+                r = int(owner[run[0]])
+                base = int(first_of[r])
+                if r not in bigrams_of:
+                    ws = [flat[start[k] : end[k]] for k in range(pairs[base], pairs[first_of[r + 1] - 1] + 2)]
+                    bigrams_of[r] = list(zip(ws, ws[1:]))
+                begins = range(int(run[0]) - base, int(run[-1]) - base + 1)
+                for share, i, last in _slide(bigrams_of[r], begins, length, template, templates.limit):
+                    found.setdefault(r, []).append((-share, name, int(pairs[base + i]), int(pairs[base + last]) + 1))
+    out = list(parts)
+    for r, windows in found.items():
+        low = block.bounds[r]
+        raw = block.data[low : block.bounds[r + 1]].tobytes()
+        chars = np.concatenate(([0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)))
+        taken = np.zeros(int(chars[-1]), bool)
+        for m in parts[r]:
+            taken[m["start"] : m["end"]] = True
+        out[r] = list(parts[r])
+        for share, name, i, last in sorted(windows):
+            a, b = int(chars[start[i] - low]), int(chars[end[last] - low])
+            if not taken[a:b].any():
+                taken[a:b] = True
+                out[r].append({"license": name, "dice": -share, "start": a, "end": b})
+    return out
+
+
+def scan(text: str | Column, templates: dict[str, str] = TEMPLATES | WHOLE, limit: float = LIMIT) -> Column:
+    """All matching parts and windows of each text: licence, coefficient, and the bounds in code points."""
     known = Templates(templates, limit)
 
     def scanned(texts: pa.Array) -> pa.Array:
-        return pa.array([m for block in B.blocks(texts) for m in _scan_block(block, known)], _ARROW)
+        return pa.array([m for block in B.blocks(texts) for m in _windows(block, known, _scan_block(block, known))], _ARROW)
 
     return F.arrow_udf(scanned, T.ArrayType(MATCH)).asNondeterministic()(text)

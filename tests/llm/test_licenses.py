@@ -85,3 +85,39 @@ def test_cases(spark):
     out = df.select("doc_id", licenses.scan("text").alias("found"))
     assert sorted((r.doc_id or 0, [m.license for m in r.found]) for r in out.collect()) == [(0, ["MIT"]), (1, []), (2, []), (3, ["MIT"]), (3, ["MIT"]), (4, ["MIT"])]
     assert df.limit(0).select(licenses.scan("text")).count() == 0
+
+
+def with_windows(text, templates=licenses.TEMPLATES | licenses.WHOLE):
+    known = licenses.Templates(templates, licenses.LIMIT)
+    found = [m for b in textblocks.blocks(pa.array(["", text, None], pa.string())) for m in licenses._windows(b, known, licenses._scan_block(b, known))][1]
+    return {text[m["start"] : m["end"]]: (m["license"], m["dice"]) for m in found}
+
+
+def test_notices_in_the_middle_of_a_line():
+    assert with_windows("Copyright é (c) 2020 Foo Inc. Released under the MIT License. " + "More words follow here. " * 5) == {"Released under the MIT License": ("MIT", 1.0)}
+    apache = "Licensed under the Apache License, Version 2.0"
+    assert with_windows(f"Some prose here. {apache}. More prose. And {apache}, too, with some more words") == {apache: ("Apache-2.0", 1.0)}
+    assert with_windows("the license of the library is not named here at all, nor is the version of the software") == {}
+
+
+def test_whole_licences():
+    for name in licenses.WHOLE:
+        text = "A title and some words of an author\n" + licenses.WHOLE[name] + "\n" + "an end of other words that goes on " * 3
+        assert name in {k for k, _ in with_windows(text).values()}, name
+    mit = "MIT License Copyright (c) 2020 Foo " + licenses.WHOLE["MIT whole"]
+    assert {k for k, _ in with_windows(mit).values()} == {"MIT whole"}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from("a b c d e f g".split()), min_size=2, max_size=40), st.lists(st.sampled_from("a b c d e f g".split()), min_size=4, max_size=12))
+def test_windows_match_every_window_compared(text, template):
+    mine, known = list(zip(text, text[1:])), Counter(zip(template, template[1:]))
+    for length in licenses._lengths(known.total(), 0.8):
+        want = []
+        for i in range(len(mine)):
+            ends = [k for k in range(i, min(i + length, len(mine))) if mine[k] in known]
+            part = Counter(mine[i : ends[-1] + 1]) if ends else Counter()
+            share = 2 * (part & known).total() / (part.total() + known.total())
+            if mine[i] in known and share >= 0.8:
+                want.append((share, i, ends[-1]))
+        assert list(licenses._slide(mine, range(len(mine)), length, known, 0.8)) == want
