@@ -5,8 +5,8 @@ together make one period of slots. Block i of a source with weight w may not com
 before ceil(i / w); in each slot the released block with the earliest deadline goes next. So after any number of slots, every
 source is less than one block away from its share, until one of them runs out; the slots it would have had then stay empty.
 
-The schedule repeats after each period, so it is worked out once for the parts (as many steps as there are parts, whatever
-the data), and each document finds its slot by arithmetic. Positions inside a source come from totals of hashed slices and a
+The schedule repeats after each period, so it is worked out once for the parts (as many steps as there are parts, which grow
+with the number of sources only), and each document finds its slot by arithmetic. Positions inside a source come from totals of hashed slices and a
 running sum inside each slice; a source of any size is spread over many tasks.
 
 Cases: a null source is a source of its own. Null or empty texts have size 0 and stay with the document before them. A document
@@ -23,8 +23,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ontime.llm.quality import spare_name
 
-#: Parts of all weights together: one period of the schedule. It bounds the number of sources.
+#: Parts of all weights together: one period of the schedule, at least.
 PARTS = 10_000
+#: Parts for each source, at least: the period grows with the sources, so that the one part each has first stays a small share.
+PARTS_A_SOURCE = 16
 #: Characters in a block.
 BLOCK = 100_000
 #: Rows in a slice, on average.
@@ -53,9 +55,9 @@ def whole_parts(weights: dict[str, float], parts: int = PARTS) -> dict[str, int]
 
 
 def tempered_weights(df: DataFrame, source: str, size: Column, exponent: float = 0.5, parts: int = PARTS) -> dict[str, int]:
-    """Parts in proportion to size ** exponent, so that large sources are held back. One row per source reaches the driver."""
-    sizes = df.groupBy(source_key(F.col(f"`{source}`")).alias("k")).agg(F.sum(size).alias("n")).limit(parts + 1).collect()
-    return whole_parts({r.k: max(r.n or 0, 1) ** exponent for r in sizes}, parts) if sizes else {}
+    """Parts in proportion to size ** exponent, so that large sources are held back; more parts for many sources. One row per source reaches the driver."""
+    sizes = df.groupBy(source_key(F.col(f"`{source}`")).alias("k")).agg(F.sum(size).alias("n")).collect()
+    return whole_parts({r.k: max(r.n or 0, 1) ** exponent for r in sizes}, max(parts, PARTS_A_SOURCE * len(sizes))) if sizes else {}
 
 
 def period(parts: dict[str, int]) -> dict[str, list[int]]:

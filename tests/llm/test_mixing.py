@@ -91,3 +91,17 @@ def test_cases(spark):
     assert len({r.slot_ for r in got if r.id == 4}) == 2
     assert mixing.interleave(df.limit(0), {}, "source", size, ["id"]).count() == 0
     assert mixing.tempered_weights(df.limit(0), "source", size) == {}
+
+
+def test_more_sources_than_parts(spark):
+    """The period grows: every source has its part, and weights stay near their targets."""
+    df = spark.range(10_300).select("id", F.when(F.col("id") < 300, "large").otherwise(F.concat(F.lit("s"), "id")).alias("source"))
+    size = F.when(F.col("id") < 300, F.lit(1_000_000)).otherwise(F.lit(100)).cast("long")
+    parts = mixing.tempered_weights(df, "source", size)
+    assert len(parts) == 10_001 and min(parts.values()) >= 1
+    large = 3e8**0.5
+    target = large / (large + 10_000 * 10)
+    assert abs(parts["=large"] / sum(parts.values()) - target) < target / 10
+    got = mixing.interleave(df, parts, "source", size, ["id"]).collect()
+    assert sorted(r.id for r in got) == list(range(10_300))
+    assert all(0 <= r.slot for r in got) and len({r.slot for r in got if r.id >= 300}) == 10_000
