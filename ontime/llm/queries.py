@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import jaccard, licenses, mixing, neardup, packing, pii, quality, suffix, urls, warc
+from ontime.llm import bpe, jaccard, licenses, mixing, neardup, packing, pii, quality, resample, suffix, urls, warc, whitening
 from ontime.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,52 @@ def op10_warc_addressed(spark, sf_dir):
     warc.write(table(spark, sf_dir, "pages"), archive, "page_id", "url", "html")
     records = warc.read(spark, archive)
     return records.select(F.col("id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
+
+
+@query()
+def op11_bpe_monoid(spark, sf_dir):
+    import public_tokenizers as public
+
+    ranks = public.path("byte_bpe_multi_50k.tiktoken")
+    coded = table(spark, sf_dir, "documents").select("doc_id", bpe.encode("text", ranks, public.PATTERN).alias("ids"))
+    both = coded.select("doc_id", "ids", bpe.decode("ids", ranks, public.PATTERN).alias("decoded"))
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return both.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), '" + _UPPER + "', '" + _LOWER + "'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+#: One step of a CRC-32 register, and the table of all 256, worked out by rule.
+_EIGHT_BITS = "list_reduce(list_prepend(r, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)"
+_BYTES = "list_transform(range(1, CAST(len(h) AS BIGINT), 2), lambda i: CAST('0x' || h[i : i + 1] AS BIGINT))"
+_NOISE = "(CAST('0x' || sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT) + 0.5) / 4294967296"
+
+
+@query(
+    f"WITH crc AS (SELECT list({_EIGHT_BITS} ORDER BY r) AS step FROM range(256) t(r)), "
+    f"d AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS words FROM documents), b AS (SELECT {_WORDS} AS words FROM benchmark), "
+    "uses AS (SELECT row, unnest(words) AS word FROM d), aims AS (SELECT unnest(words) AS word FROM b), "
+    f"hexed AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM uses UNION SELECT word FROM aims)), "
+    f"hashed AS (SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, {_BYTES}), "
+    "lambda c, x: xor(step[1 + (xor(c, x) & 255)], c >> 8))) % 10000 AS bucket FROM hexed, crc), "
+    "s AS (SELECT bucket, count(*) AS s FROM uses JOIN hashed USING (word) GROUP BY bucket), "
+    "t AS (SELECT bucket, count(*) AS t FROM aims JOIN hashed USING (word) GROUP BY bucket), "
+    "gains AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM uses) + 10000.0::DOUBLE) "
+    "/ ((coalesce(s, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM aims) + 10000.0::DOUBLE)))) AS BIGINT) AS gain "
+    "FROM (SELECT DISTINCT bucket FROM hashed) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)), "
+    "weights AS (SELECT row, CAST(sum(gain) AS BIGINT) AS weight FROM uses JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY row), "
+    "scored AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, "
+    f"coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln({_NOISE}))) AS BIGINT) AS score FROM d LEFT JOIN weights USING (row)), "
+    "placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place FROM scored) "
+    "SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= (SELECT 10 * count(*) // 100 FROM scored WHERE n_features >= 20) THEN place END AS rank "
+    "FROM placed"
+)
+def op12_resample_crc(spark, sf_dir):
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resample.resample(docs, target).drop("n_words").withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op13_whiten_polar(spark, sf_dir):
+    found = whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+    # A long by its contract: null where 64 bits do not hold it, with all digits beside it.
+    return found.withColumn("deviation_exact", F.col("deviation")).withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))

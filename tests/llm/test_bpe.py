@@ -1,0 +1,114 @@
+"""Byte-level BPE by joins, against the library whose results it has to match, and round trips."""
+
+import hashlib
+import random
+from array import array
+
+import public_tokenizers as public
+import pytest
+import tiktoken
+from hypothesis import given, settings, strategies as st
+
+from ontime.llm import bpe
+from ontime.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+RANKS = public.path("byte_bpe_multi_50k.tiktoken")
+CODEC = bpe.codec_at(RANKS, public.PATTERN)
+LIBRARY = tiktoken.Encoding("library", pat_str=public.PATTERN, mergeable_ranks=CODEC.words.ranks, special_tokens={})
+#: Pieces that meet in many ways at a boundary; the last letter is newer than the library's Unicode.
+PIECES = ["a", "b", " ", "  ", "\n", "'", "'re", "'l", "l", "1", "é", "漢", "!", "́", "\U0003dae8", "abc", "the", " the", "\t", "\xa0", "\x1c"]
+
+
+@pytest.fixture
+def small_leaves(monkeypatch):
+    """Joins everywhere, also in short texts."""
+    monkeypatch.setattr(bpe, "LEAF_CHARS", 2)
+    monkeypatch.setattr(bpe, "LEAF_BYTES", 1)
+    monkeypatch.setattr(bpe, "LEAF_IDS", 2)
+    return bpe.Codec(CODEC.words.ranks, public.PATTERN)
+
+
+def test_any_mixture_of_pieces(small_leaves):
+    rng = random.Random(1)
+    for _ in range(3000):
+        text = "".join(rng.choice(PIECES) for _ in range(rng.randint(0, 60)))
+        ids = small_leaves.encode(text)
+        assert list(ids) == LIBRARY.encode_ordinary(text), repr(text)
+        assert small_leaves.decode(ids) == text.encode()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=200))
+def test_any_text(text):
+    ids = CODEC.encode(text)
+    assert list(ids) == LIBRARY.encode_ordinary(text) and CODEC.decode(ids) == text.encode()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(max_size=40), st.binary(max_size=40))
+def test_a_join_is_the_encoding_of_both_sides(left, right):
+    words = CODEC.words
+    assert words.join(words.merged(left), words.merged(right)) == words.merged(left + right)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text("ab \n'é", max_size=40), st.text("ab \n'é", max_size=40), st.text("ab \n'é", max_size=40))
+def test_joins_are_associative_with_the_empty_text_as_identity(a, b, c):
+    text = a + b + c
+    bounds = [0, len(a), len(a + b), len(text)]
+    one, two, three = (CODEC.leaf(text, x, y, CODEC.plain) for x, y in zip(bounds, bounds[1:]))
+
+    def join(x, y):
+        return CODEC.join(text, x, y, CODEC.plain)
+
+    ways = [join(join(one, two), three), join(one, join(two, three))]
+    assert [(x.ends, x.sizes, x.ids) for x in ways] == [(x.ends, x.sizes, x.ids) for x in [CODEC.leaf(text, 0, len(text), CODEC.plain)] * 2]
+
+
+def test_both_ways_to_merge_agree():
+    rng = random.Random(2)
+    for _ in range(300):
+        data = "".join(rng.choice(PIECES) for _ in range(rng.randint(1, 40))).encode()
+        assert CODEC.words.merged(data) == CODEC.words.merged_by_queue(data)
+
+
+@pytest.mark.parametrize("text", ["a" * 100_000, "ab" * 40_000, " " * 70_001 + "x", "\n" * 30_000 + "x", "漢字" * 9_000, "it's " * 20_000, "the cat sat. " * 30_000])
+def test_long_runs_and_long_texts(text):
+    ids = CODEC.encode(text)
+    assert list(ids) == LIBRARY.encode_ordinary(text) and CODEC.decode(ids) == text.encode()
+
+
+def test_windows_stay_small_on_even_runs(monkeypatch):
+    """Halves of a run meet at a multiple of its longest token, so no join encodes more than a few bytes anew."""
+    seen = []
+    plain = bpe.Words.merged
+    monkeypatch.setattr(bpe.Words, "merged", lambda self, data: seen.append(len(data)) or plain(self, data))
+    words = bpe.Words(CODEC.words.ranks)
+    words.tree(b"a" * (1 << 16))
+    assert max(seen) <= 64
+
+
+def test_query_on_the_test_table(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = QUERIES["op11_bpe_monoid"](spark, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        ids = array("I", LIBRARY.encode_ordinary(texts[r.doc_id]))
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_nulls_empty_repeated_special_and_extra_columns(spark):
+    rows = [(1, None), (2, ""), (3, "one <|endoftext|> two"), (3, "one <|endoftext|> two"), (None, "z" * 50_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS ids", "1 AS decoded")
+    coded = df.select("doc_id", "text", bpe.encode("text", RANKS, public.PATTERN).alias("code"))
+    got = coded.select("*", bpe.decode("code", RANKS, public.PATTERN).alias("back")).collect()
+    assert len(got) == 5
+    for r in got:
+        assert bytes(r.code) == array("I", LIBRARY.encode_ordinary(r.text or "")).tobytes() and bytes(r.back) == (r.text or "").encode()
+    assert coded.limit(0).count() == 0
+    nothing = spark.createDataFrame([(None,)], "ids binary").select(bpe.decode("ids", RANKS, public.PATTERN).alias("back")).first()
+    assert bytes(nothing.back) == b""
+    with pytest.raises(KeyError):
+        CODEC.decode(array("I", [4_000_000_000]))

@@ -19,5 +19,5 @@ def test_same_as_sql(spark, name):
 
 def test_one_query_for_each_operator():
     names = [n for n in __spark_entry__.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries() and set(ORACLE) <= set(QUERIES)
