@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ontime.functions.values import real
+from ontime.functions.values import FLOATS, real
 from ontime.schema import exact_columns
 from ontime.session import kept
 
@@ -22,6 +22,11 @@ def _columns(names: list[str]) -> list[Column]:
     return [F.col(n) for n in names]
 
 
+def _comparable(value):
+    """A group key as Spark groups by it: NaN equals NaN."""
+    return ("NaN",) if value != value else value
+
+
 def _running(sums: list[str], by: list[str]):
     """For a sorted slice: each row's sums over the earlier rows of its group in this slice, as <s>_inner."""
 
@@ -34,7 +39,7 @@ def _running(sums: list[str], by: list[str]):
             for c in by:
                 codes = batch.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
                 begins[1:] |= codes[1:] != codes[:-1]
-            first, end = (tuple(batch.column(c)[i].as_py() for c in by) for i in (0, batch.num_rows - 1))
+            first, end = (tuple(_comparable(batch.column(c)[i].as_py()) for c in by) for i in (0, batch.num_rows - 1))
             goes_on = last == first
             begins[0] = True
             starts = np.flatnonzero(begins)
@@ -64,6 +69,8 @@ def running_totals(
     uses below must see the same ones. Then each slice only needs the totals of those before it.
     """
     keys = _columns(by) + order
+    # Spark groups by a negative zero as by zero.
+    df = df.withColumns({f.name: F.col(f.name) + F.lit(0).cast(f.dataType) for f in df.schema.fields if f.name in by and isinstance(f.dataType, FLOATS)})
     df = df.withColumns({s: F.coalesce(F.col(s).cast("bigint"), F.lit(0)) for s in sums})
     sliced = df.repartitionByRange(ranged, *keys) if ranged else df.repartitionByRange(*keys)
     sliced = sliced.withColumn("_slice", F.spark_partition_id()).sortWithinPartitions(*keys)

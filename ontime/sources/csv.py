@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import csv as csv_module
-from concurrent.futures import ThreadPoolExecutor
+import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ontime.functions.values import convert
@@ -27,33 +29,96 @@ def _reader(spark: SparkSession, pattern: str = PATTERN):
     return spark.read.option("header", True).option("pathGlobFilter", pattern).option("quote", '"').option("escape", '"')
 
 
-def headers(spark: SparkSession, paths: list[str], threads: int = 16) -> list[tuple[str, list[str] | None, str | None]]:
+# Every file is one split and every split one task, and a task gets single rows.
+_ONE_LINE = {"spark.sql.files.maxPartitionBytes": "1t", "spark.sql.files.openCostInBytes": "1t", "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
+
+
+def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The first line of every file that has one, by plain path. Tasks read the lines and stop; the driver gets only them."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    with settings(spark, _ONE_LINE):
+        lines = spark.read.option("ignoreCorruptFiles", True).text(paths).where("_metadata.file_block_start = 0")
+        named = lines.select(F.col("_metadata.file_path").alias("path"), "value")
+        found = named.mapInArrow(first, "path string, value string").collect()
+    return {plain(r.path): r.value for r in found}
+
+
+def headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, list[str] | None, str | None]]:
     """(path, header, reason) of every file: the cells of its first line, or why they can't be read.
 
-    Only the first line of each file is fetched, through Spark's own file systems, so remote and compressed files work.
+    Tasks read the lines. Only files that gave none are opened from here, to learn the reason.
     """
+    lines = first_lines(spark, paths) if paths else {}
+    found = []
+    for path in paths:
+        line, reason = (lines[plain(path)], None) if plain(path) in lines else _opened(spark, path)
+        if line:
+            found.append((path, next(csv_module.reader([line.removeprefix("\ufeff")])), None))
+        else:
+            found.append((path, None, reason or "no header line"))
+    return found
+
+
+def _opened(spark: SparkSession, path: str) -> tuple[str | None, str | None]:
+    """First line of one file or why there is none, through Spark's own file systems."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-
-    def first(path: str) -> tuple[str, list[str] | None, str | None]:
+    try:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        stream = place.getFileSystem(conf).open(place)
         try:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            stream = place.getFileSystem(conf).open(place)
-            try:
-                codec = codecs.getCodec(place)
-                text = codec.createInputStream(stream) if codec else stream
-                line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8")).readLine()
-            finally:
-                stream.close()
-        except Exception as error:  # the reason is part of the report
-            cause = getattr(error, "java_exception", None)
-            return path, None, str(cause.toString() if cause else error).splitlines()[0]
-        if not line:
-            return path, None, "no header line"
-        return path, next(csv_module.reader([line.removeprefix("\ufeff")])), None
-
-    with ThreadPoolExecutor(threads) as pool:
-        return list(pool.map(first, paths))
+            codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+            text = codec.createInputStream(stream) if codec else stream
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8")).readLine(), None
+        finally:
+            stream.close()
+    except Exception as error:  # the reason is part of the report
+        cause = getattr(error, "java_exception", None)
+        return None, str(cause.toString() if cause else error).splitlines()[0]
+
+
+def by_header(spark: SparkSession, files: list[str], skip_unreadable: bool = False) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header. One without a header line has no rows; one that can't be read is an error unless it may be skipped."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header, reason in headers(spark, files):
+        if header is not None:
+            groups.setdefault(tuple(header), []).append(file)
+        elif reason != "no header line" and not skip_unreadable:
+            raise ValueError(f"{file}: {reason}")
+    return groups
+
+
+def _scan(
+    spark: SparkSession, paths: str | list[str], header: list[str], base: str | None, pattern: str, has_header: bool, skip_unreadable: bool, multi_line: bool, file_column: str | None
+) -> DataFrame:
+    layout = T.StructType([T.StructField(c, T.StringType()) for c in header + [BAD]])
+    reader = (
+        _reader(spark, pattern)
+        .option("header", has_header)
+        .schema(layout)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD)
+        .option("columnPruning", False)  # a row's cells can only be counted when all are parsed
+        .option("ignoreCorruptFiles", skip_unreadable)
+        .option("multiLine", multi_line)
+    )
+    rows = (reader.option("basePath", base) if base else reader).csv(paths)
+    return rows.withColumn(file_column, F.col("_metadata.file_path")) if file_column else rows
+
+
+def read_groups(
+    spark: SparkSession, groups: dict[tuple[str, ...], list[str]], base: str | None = None, pattern: str = PATTERN, skip_unreadable: bool = False,
+    multi_line: bool = False, file_column: str | None = None,
+) -> DataFrame:
+    """The files of each header as one scan, columns matched by name."""
+    scans = [_scan(spark, paths, list(header), base, pattern, True, skip_unreadable, multi_line, file_column) for header, paths in sorted(groups.items())]
+    return union_by_name(scans)
 
 
 def read_text(
@@ -78,37 +143,16 @@ def read_text(
     files = [r.path for r in list_files(spark, path, pattern).select("path").collect()]
     if not files:
         raise ValueError(f"no CSV files in {path}")
-
-    def scan(paths: str | list[str], header: list[str]) -> DataFrame:
-        layout = T.StructType([T.StructField(c, T.StringType()) for c in header + [BAD]])
-        reader = (
-            _reader(spark, pattern)
-            .option("header", columns is None)
-            .schema(layout)
-            .option("enforceSchema", False)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", BAD)
-            .option("columnPruning", False)  # a row's cells can only be counted when all are parsed
-            .option("ignoreCorruptFiles", skip_unreadable)
-            .option("multiLine", multi_line)
-        )
-        rows = (reader.option("basePath", path) if isinstance(paths, list) else reader).csv(paths)
-        return rows.withColumn(file_column, F.col("_metadata.file_path")) if file_column else rows
-
     if columns is not None:
-        return scan(path, columns)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, header, reason in headers(spark, files):
-        if header is not None:
-            groups.setdefault(tuple(header), []).append(file)
-        elif reason != "no header line" and not skip_unreadable:
-            raise ValueError(f"{file}: {reason}")
+        return _scan(spark, path, columns, None, pattern, False, skip_unreadable, multi_line, file_column)
+    groups = by_header(spark, files, skip_unreadable)
     if not groups:
         raise ValueError(f"no readable CSV files in {path}")
-    if len(groups) == 1 and len(files) == sum(map(len, groups.values())):
-        return scan(path, list(next(iter(groups))))
     single = path.rstrip("/").rsplit("/", 1)[-1] == files[0].rsplit("/", 1)[-1]
-    return union_by_name([scan(path if single else paths, list(header)) for header, paths in sorted(groups.items())])
+    whole = len(groups) == 1 and len(files) == sum(map(len, groups.values()))
+    if whole or single:
+        return _scan(spark, path, list(next(iter(groups))), None, pattern, True, skip_unreadable, multi_line, file_column)
+    return read_groups(spark, groups, path, pattern, skip_unreadable, multi_line, file_column)
 
 
 def typed(df: DataFrame, layout: T.StructType = RAW, keep: list[str] | None = None) -> DataFrame:
@@ -189,9 +233,17 @@ def file_report(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataF
     return outcome.join(counts, "path", "left").fillna(0, ["n", "n_malformed"]).select("path", "n", "n_malformed", "reason")
 
 
+_SCHEME = "^([a-z0-9]+):/+"
+
+
 def plain_path(column: str):
     """A path without the slashes that differ between file listings (file:/a and file:///a)."""
-    return F.regexp_replace(F.col(column), "^([a-z0-9]+):/+", "$1:/")
+    return F.regexp_replace(F.col(column), _SCHEME, "$1:/")
+
+
+def plain(path: str) -> str:
+    """The same for a single path."""
+    return re.sub(_SCHEME, r"\1:/", path)
 
 
 def dataset_of(column: str = "_metadata.file_path"):

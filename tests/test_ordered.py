@@ -124,3 +124,18 @@ def test_rows_are_shuffled_once(spark):
     assert sorted((r.id, r.n_before, r.n_total) for r in out.collect()) == [(i, i // 3, 1000) for i in range(3000)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_a_group_named_nan_is_one_group_over_batches(spark):
+    """Rows of one group that come in several Arrow batches go on counting, also where the key is NaN or a negative zero."""
+    from ontime.session import settings
+
+    n = 500
+    rows = [(key, i) for key in (float("nan"), 0.0, 1.5, None) for i in range(n)] + [(-0.0, n + i) for i in range(n)]
+    df = spark.createDataFrame(rows, "g double, i int")
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "64"}):
+        ranked = O.positions(df, ["g"], [F.col("i")], 2)
+        got = {("nan" if r.g != r.g else r.g, r.i): r.position for r in ranked.collect()}
+    assert len(got) == 5 * n
+    for (g, i), position in got.items():
+        assert position == i, (g, i)
