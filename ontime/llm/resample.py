@@ -281,5 +281,7 @@ def draw(weights: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WO
 
 def resample(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS, longest: int = LONGEST, **drawing) -> DataFrame:
     """Every document with its weight and score; the drawn ones with a rank."""
-    gain = gains(bucket_counts(docs, text, buckets, longest), bucket_counts(target, "text", buckets, longest), buckets)
+    # Kept, as the sums and the gains both read them: texts are hashed once for the counts and once for the weights.
+    counts = [stored(bucket_counts(df, column, buckets, longest), "buckets") for df, column in ((docs, text), (target, "text"))]
+    gain = gains(*counts, buckets)
     return draw(weighted(docs, gain, key, text, buckets, longest), **drawing)
