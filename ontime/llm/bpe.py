@@ -26,8 +26,11 @@ decoding. An empty table gives an empty table.
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import accumulate, chain
 
@@ -44,6 +47,8 @@ LEAF_IDS = 1024
 #: Bytes above which neighbours wait in a queue, and a number above all ranks.
 LONG_WINDOW = 128
 NONE = 1 << 32
+#: Two ids in one number; ids are smaller than that.
+SHIFT = 32
 #: Matches and token pairs that a worker remembers at a time, and the longest match it does.
 REMEMBERED = 1 << 18
 LONGEST_REMEMBERED = 64
@@ -60,24 +65,29 @@ class Words:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
+        self.single = [ranks[bytes([b])] for b in range(256)]
+        # What two tokens merge to, which is also the rank of that merge.
+        splits = ((ranks.get(b[:i]), ranks.get(b[i:]), token) for b, token in ranks.items() for i in range(1, len(b)))
+        self.merge = {x << SHIFT | y: token for x, y, token in splits if x is not None and y is not None}
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def merged(self, data: bytes) -> list[int]:
         """Merge the neighbours of lowest rank, leftmost first, until none is in the vocabulary."""
         if len(data) > LONG_WINDOW:
             return self.merged_by_queue(data)
-        get = self.ranks.get
-        parts = [data[i : i + 1] for i in range(len(data))]
-        ranks = [get(data[i : i + 2], NONE) for i in range(len(data) - 1)]
-        while ranks and (best := min(ranks)) != NONE:
+        get = self.merge.get
+        parts = [self.single[b] for b in data]
+        ranks = [get(a << SHIFT | b, NONE) for a, b in zip(parts, parts[1:])]
+        ranks.append(NONE)
+        while (best := min(ranks)) != NONE:
             i = ranks.index(best)
-            parts[i] += parts.pop(i + 1)
-            del ranks[i]
-            if i < len(ranks):
-                ranks[i] = get(parts[i] + parts[i + 1], NONE)
+            parts[i] = best
+            del parts[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = get(parts[i - 1] + parts[i], NONE)
-        return [self.ranks[p] for p in parts]
+                ranks[i - 1] = get(parts[i - 1] << SHIFT | best, NONE)
+            if i + 1 < len(parts):
+                ranks[i] = get(best << SHIFT | parts[i + 1], NONE)
+        return parts
 
     def merged_by_queue(self, data: bytes) -> list[int]:
         """The same for long windows: a queue of neighbours by rank instead of a search for each merge."""
@@ -145,7 +155,7 @@ class Element:
 
     __slots__ = ("start", "ends", "sizes", "ids")
 
-    def __init__(self, start: int, ends: array, sizes: array, ids: array):
+    def __init__(self, start: int, ends: list[int], sizes: list[int], ids: list[int]):
         self.start, self.ends, self.sizes, self.ids = start, ends, sizes, ids
 
 
@@ -176,9 +186,8 @@ class Codec:
         matches = pattern.findall(text[start:end])
         known = self.known
         codes = [known.get(m) or self.match_ids(m) for m in matches]
-        ends = accumulate(map(len, matches), initial=start)
-        next(ends)
-        return Element(start, array("q", ends), array("q", map(len, codes)), array("I", chain.from_iterable(codes)))
+        ends = list(accumulate(map(len, matches), initial=start))
+        return Element(start, ends[1:], list(map(len, codes)), list(chain.from_iterable(codes)))
 
     def join(self, text: str, left: Element, right: Element, pattern) -> Element:
         if not left.ends or not right.ends:
@@ -190,7 +199,7 @@ class Codec:
             i -= 1
         at = left.ends[i - 1] if i else left.start
         # Ids of the matches on either side of the boundary, to be taken over where the same match is found again.
-        found: dict[tuple[int, int], array] = {}
+        found: dict[tuple[int, int], list[int]] = {}
         cut = len(left.ids)
         for k in range(len(left.ends) - 1, i - 1, -1):
             begin = left.ends[k - 1] if k else left.start
@@ -198,7 +207,7 @@ class Codec:
             cut -= left.sizes[k]
         j, taken = 0, 0
 
-        ends, sizes, ids = array("q"), array("q"), array("I")
+        ends, sizes, ids = [], [], []
         for m in pattern.finditer(text, at, stop):
             begin, end = m.span()
             while j < len(right.ends) and right.ends[j] <= end:
@@ -221,9 +230,9 @@ class Codec:
                 break
         return Element(left.start, left.ends[:i] + ends + right.ends[j:], left.sizes[:i] + sizes + right.sizes[j:], left.ids[:cut] + ids + right.ids[taken:])
 
-    def pure(self, ids: array, match: str) -> list[int]:
+    def pure(self, ids: list[int], match: str) -> list[int]:
         """What merges alone give for a match: a match that is one id may owe it to the vocabulary."""
-        return list(ids) if len(ids) > 1 else self.words.tree(match.encode())
+        return ids if len(ids) > 1 else self.words.tree(match.encode())
 
     def element(self, text: str, start: int, end: int, pattern) -> Element:
         n = end - start
@@ -236,7 +245,7 @@ class Codec:
         if not text:
             return array("I")
         pattern = self.plain if text.isascii() or self.differ.isdisjoint(text) else self.careful
-        return self.element(text, 0, len(text), pattern).ids
+        return array("I", self.element(text, 0, len(text), pattern).ids)
 
     # ---- decoding
 
@@ -277,6 +286,16 @@ def _binary(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())
 
 
+@contextmanager
+def _no_cycles() -> Iterator[None]:
+    """Without the search for cyclic garbage, of which encoding makes none: it would go through all remembered matches again and again."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def _little(ids: array) -> array:
     if ids.itemsize != 4:
         raise RuntimeError("this platform's unsigned int has not 32 bits")
@@ -291,7 +310,8 @@ def encode(text: str | Column, ranks_path: str, pattern: str) -> Column:
 
     def encoded(texts: pa.Array) -> pa.Array:
         codec = codec_at(ranks_path, pattern)
-        return _binary([_little(codec.encode(t.as_py())).tobytes() for t in texts])
+        with _no_cycles():
+            return _binary([_little(codec.encode(t.as_py())).tobytes() for t in texts])
 
     # Not deterministic only by name: else each use of the ids would encode the text again.
     return F.arrow_udf(encoded, T.BinaryType()).asNondeterministic()(text)
@@ -305,3 +325,19 @@ def decode(ids: str | Column, ranks_path: str, pattern: str) -> Column:
         return _binary([codec.decode(_little(array("I", r.as_py() or b""))) for r in rows])
 
     return F.arrow_udf(decoded, T.BinaryType()).asNondeterministic()(ids)
+
+
+def round_trip(text: str | Column, ranks_path: str, pattern: str) -> Column:
+    """A struct of both: the ids of each text, and the bytes that these ids decode to. One worker holds the vocabulary, not two."""
+
+    def both(texts: pa.Array) -> pa.Array:
+        codec = codec_at(ranks_path, pattern)
+        ids, decoded = [], []
+        with _no_cycles():
+            for t in texts:
+                coded = codec.encode(t.as_py())
+                ids.append(_little(coded).tobytes())
+                decoded.append(codec.decode(coded))
+        return pa.StructArray.from_arrays([_binary(ids), _binary(decoded)], names=["ids", "decoded"])
+
+    return F.arrow_udf(both, "ids binary, decoded binary").asNondeterministic()(text)

@@ -163,8 +163,7 @@ def op11_bpe_monoid(spark, sf_dir):
     import public_tokenizers as public
 
     ranks = public.path("byte_bpe_multi_50k.tiktoken")
-    coded = table(spark, sf_dir, "documents").select("doc_id", bpe.encode("text", ranks, public.PATTERN).alias("ids"))
-    both = coded.select("doc_id", "ids", bpe.decode("ids", ranks, public.PATTERN).alias("decoded"))
+    both = table(spark, sf_dir, "documents").select("doc_id", bpe.round_trip("text", ranks, public.PATTERN).alias("both")).select("doc_id", "both.*")
     n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
     return both.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
