@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ontime.functions.values import FLOATS, real
 from ontime.schema import exact_columns
-from ontime.session import kept
+from ontime.session import kept_parts
 
 
 def _columns(names: list[str]) -> list[Column]:
@@ -27,8 +27,9 @@ def _comparable(value):
     return ("NaN",) if value != value else value
 
 
-def _running(sums: list[str], by: list[str]):
-    """For a sorted slice: each row's sums over the earlier rows of its group in this slice, as <s>_inner."""
+def _running(sums: list[str], by: list[str], names: list[str]):
+    """For a sorted slice: each row's sums over the earlier rows of its group in this slice, as ``_<s>_inner``; and, marked by
+    ``_part`` 1, a row with the sums of each group of each batch."""
 
     def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, carried = None, {s: 0 for s in sums}
@@ -44,17 +45,22 @@ def _running(sums: list[str], by: list[str]):
             begins[0] = True
             starts = np.flatnonzero(begins)
             group = np.cumsum(begins) - 1
-            inner = []
+            inner, totals = [], {}
             for s in sums:
                 values = batch.column(s).fill_null(0).to_numpy(zero_copy_only=False)
                 before = np.cumsum(values) - values
                 own = before - before[starts][group]
+                totals[s] = pa.array(np.add.reduceat(values, starts), batch.column(s).type)
                 if goes_on:
                     own[group == 0] += carried[s]
                 carried[s] = own[-1] + values[-1]
                 inner.append(pa.array(own, batch.column(s).type))
             last = end
-            yield pa.RecordBatch.from_arrays([*batch.columns, *inner], names=[*batch.schema.names, *[f"_{s}_inner" for s in sums]])
+            one = lambda n, part: pa.array(np.full(n, part, np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *inner, one(batch.num_rows, 0)], names=names)
+            heads = batch.take(pa.array(starts))
+            cells = [totals.get(n, heads.column(n) if n in by or n == "_slice" else pa.nulls(len(starts), heads.column(n).type)) for n in batch.schema.names]
+            yield pa.RecordBatch.from_arrays([*cells, *totals.values(), one(len(starts), 1)], names=names)
 
     return walked
 
@@ -65,8 +71,8 @@ def running_totals(
     """Add ``<s>_before`` (sum over earlier rows of the group) and ``<s>_total`` for every column in ``sums``.
 
     ``order`` must be unique inside a group, so aggregate equal values first; the sums are of whole numbers. Rows are shuffled once, by range.
-    The slices are kept in the shared work folder with the running sums inside each: slice bounds come from a sample, and both
-    uses below must see the same ones. Then each slice only needs the totals of those before it.
+    One job keeps the slices in the shared work folder, with the running sums inside each, and beside them the few totals by slice and
+    group: slice bounds come from a sample, and all uses below must see the same ones. Then each slice only needs the totals of those before it.
     """
     keys = _columns(by) + order
     # Spark groups by a negative zero as by zero.
@@ -74,12 +80,14 @@ def running_totals(
     df = df.withColumns({s: F.coalesce(F.col(s).cast("bigint"), F.lit(0)) for s in sums})
     sliced = df.repartitionByRange(ranged, *keys) if ranged else df.repartitionByRange(*keys)
     sliced = sliced.withColumn("_slice", F.spark_partition_id()).sortWithinPartitions(*keys)
-    extra = [T.StructField(f"_{s}_inner", T.LongType()) for s in sums]
-    sliced = kept(sliced.mapInArrow(_running(sums, by), T.StructType(sliced.schema.fields + extra)), "slices")
-
-    # One row per slice and group: a group spans at most as many slices as there are partitions. Kept too, so that Spark
-    # knows how small it is and moves it instead of the rows.
-    per_slice = sliced.groupBy(*by, "_slice").agg(*[F.sum(s).alias(s) for s in sums])
+    loose = [T.StructField(f.name, f.dataType) for f in sliced.schema.fields]
+    layout = T.StructType(loose + [T.StructField(f"_{s}_inner", T.LongType()) for s in sums] + [T.StructField("_part", T.IntegerType())])
+    parts = sliced.mapInArrow(_running(sums, by, layout.names), layout)
+    sliced, totals = kept_parts(parts, "_part", 2, "slices")
+
+    # A group spans at most as many slices as there are partitions. Spark knows how small the stored totals are, and moves them
+    # instead of the rows.
+    per_slice = totals.groupBy(*by, "_slice").agg(*[F.sum(s).alias(s) for s in sums])
     in_group = Window.partitionBy(*by) if by else Window.partitionBy()
     earlier_slices = in_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_slice.select(
@@ -88,7 +96,6 @@ def running_totals(
         *[F.coalesce(F.sum(s).over(earlier_slices), F.lit(0)).alias(f"_{s}_offset") for s in sums],
         *[F.sum(s).over(in_group).alias(f"{s}_total") for s in sums],
     )
-    offsets = kept(offsets, "offsets")
 
     same = F.col("_slice") == F.col("_s")
     for i, k in enumerate(by):

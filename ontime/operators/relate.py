@@ -78,6 +78,75 @@ def correlations(df: DataFrame, columns: list[str] | None = None, nulls: str = "
 
 _PARTS = ["n", "mx", "my", "xx", "yy", "xy"]
 
+#: Rows whose cross products become one set of partial sums.
+_CHUNK = 1 << 16
+_SUMS = ["n", "sx", "sy", "xx", "yy", "xy"]
+
+
+def correlations_tiled(df: DataFrame, columns: list[str] | None = None, nulls: str = "zero", tile: int = 64) -> DataFrame:
+    """The same matrix for thousands of columns: blocks of ``tile`` columns, and for each pair of blocks partial sums of their own.
+
+    A first pass gives the means, which become the common centre. A task then holds the rows of a chunk and the sums of one pair of
+    blocks; each pair's sums leave it at once and are added up in the aggregate that follows, map-side first, which may spill. Only pairs
+    of blocks on and above the diagonal are worked out; the others are their mirror image.
+    """
+    columns = columns or numeric_columns(df.schema)
+    if nulls not in ("zero", "pairwise"):
+        raise ValueError(f"unknown null rule {nulls!r}")
+    filled = nulls == "zero"
+    values = df.select(*[(F.coalesce(real(c), F.lit(0.0)) if filled else real(c)).alias(f"c{i}") for i, c in enumerate(columns)])
+    k = len(columns)
+    centre = np.zeros(k)
+    # One number a column; a column at a time in the aggregate's tall form would not gain anything here.
+    for at in range(0, k, 256):
+        part = range(at, min(k, at + 256))
+        means = values.agg(*[F.avg(f"c{i}") for i in part]).first()
+        centre[list(part)] = [m if m is not None and np.isfinite(m) else 0.0 for m in means]
+
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for data in _chunks(batches, _CHUNK):
+            here = ~np.isnan(data)
+            data = np.where(here, data - centre, 0.0)
+            mask = here.astype(np.float64)
+            for a in range(0, k, tile):
+                x, mx = data[:, a : a + tile], mask[:, a : a + tile]
+                for b in range(a, k, tile):
+                    y, my = data[:, b : b + tile], mask[:, b : b + tile]
+                    sums = mx.T @ my, x.T @ my, mx.T @ y, (x * x).T @ my, mx.T @ (y * y), x.T @ y
+                    i, j = np.indices(sums[0].shape)
+                    keep = (sums[0] > 0) & (i + a <= j + b)
+                    index = [pa.array((part[keep] + at).astype(np.int32)) for part, at in ((i, a), (j, b))]
+                    yield pa.RecordBatch.from_arrays(index + [pa.array(s[keep]) for s in sums], names=["i", "j", *_SUMS])
+
+    parts = values.mapInArrow(tiles, "i int, j int, " + ", ".join(f"{s} double" for s in _SUMS))
+    sums = parts.groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in _SUMS])
+    n = F.col("n")
+    xx, yy, xy = F.col("xx") - F.col("sx") * F.col("sx") / n, F.col("yy") - F.col("sy") * F.col("sy") / n, F.col("xy") - F.col("sx") * F.col("sy") / n
+    middle = F.array(*[F.lit(float(c)) for c in centre])
+    # A constant column leaves only rounding in its sum of squares.
+    noise = n * F.pow(F.greatest(F.abs(F.get(middle, F.col("i"))), F.abs(F.get(middle, F.col("j")))) * 1e-14, F.lit(2.0))
+    corr = F.when((xx > noise) & (yy > noise), xy / F.sqrt(xx) / F.sqrt(yy))
+    limited = F.when(corr.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), corr))).alias("corr")
+    names = F.array(*[F.lit(c) for c in columns])
+    half = sums.select(F.get(names, F.col("i")).alias("one"), F.get(names, F.col("j")).alias("two"), limited)
+    cell = lambda x, y: F.struct(F.col(x).alias("col_x"), F.col(y).alias("col_y"), F.col("corr"))
+    mirrored = F.when(F.col("one") == F.col("two"), F.array(cell("one", "two"))).otherwise(F.array(cell("one", "two"), cell("two", "one")))
+    return half.select(F.inline(mirrored))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[np.ndarray]:
+    """The batches' columns side by side, in blocks of up to about ``rows`` rows."""
+    kept, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            kept.append(np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns]))
+            n += batch.num_rows
+        if n >= rows:
+            yield np.concatenate(kept)
+            kept, n = [], 0
+    if kept:
+        yield np.concatenate(kept)
+
 
 def strongest(matrix: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` pairs with the largest absolute correlation, each pair once."""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ontime.operators import clean as C, evolution as V, messages as M
 from ontime.plans import oracle as O
 from ontime.plans.flights import EVENT_KEY, KEY, flights
-from ontime.plans.registry import _EVENTS, _INBOX, _rule_scores, _state_sql, _typed_sql, _yearly_csv, messages, names, query
+from ontime.plans.registry import _EVENTS, _INBOX, _rule_scores, _state_sql, _typed_sql, _yearly_csv, messages, names, query, year_spans
 from ontime.schema import MESSAGE, RAW, RAW_NAMES
 from ontime.session import fresh_dir
 from ontime.sources import ingest as I
@@ -19,16 +19,6 @@ from ontime.streaming import batches as B, pairing as P, pipeline as X
 NOW = {"availableNow": True}
 
 
-def _years(spark: SparkSession, sf: str) -> list[int]:
-    return [r.year for r in flights(spark, sf, ["year"]).select("year").distinct().orderBy("year").collect()]
-
-
-def _spans(years: list[int], n: int) -> list[list[int]]:
-    """The years in n runs of about equal length, in their order."""
-    bounds = [len(years) * i // n for i in range(n + 1)]
-    return [part for a, b in zip(bounds, bounds[1:]) if (part := years[a:b])]
-
-
 # ---- streams -----------------------------------------------------------------------------------
 
 
@@ -87,7 +77,7 @@ def stream_outcomes(spark, sf):
             if df is not None:
                 df.write.mode("append").parquet(path)
 
-    for years in _spans(_years(spark, sf), 3):
+    for years in year_spans(spark, sf, 3):
         send(predictions(f"NOT ({_NO_LEFT})", years)[0], predictions(f"NOT ({_NO_RIGHT} OR {_STALE})", years)[1])
         go_on()
     # Time goes on, and only then the held-back messages come.
@@ -107,7 +97,7 @@ def stream_dedup(spark, sf):
     inbox, out, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "unique", "unique-checkpoint"))
     rows = messages(flights(spark, sf, KEY)).select("event_id", F.year("event_time").alias("year"))
     layout = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("published", T.TimestampType())])
-    spans = _spans(_years(spark, sf), 3)
+    spans = year_spans(spark, sf, 3)
 
     def publish(years: list[int], at: dt.datetime) -> None:
         rows.where(F.col("year").isin(years)).select("event_id", F.lit(at).cast("timestamp").alias("published")).write.mode("append").parquet(inbox)
@@ -222,7 +212,7 @@ _YEAR_ROWS = "SELECT 'year=' || year AS name, count(*) AS n, 0 AS n_missing, 0 A
 def ingest_observed(spark, sf):
     """An ingest that reports on every column and data set without reading the text again."""
     csv = _yearly_csv(spark, sf)
-    report = I.observed(spark, [f"{csv}/year={y}" for y in _years(spark, sf)], fresh_dir(spark, "observed"))
+    report = I.observed(spark, [f"{csv}/year={y}" for part in year_spans(spark, sf, 1) for y in part], fresh_dir(spark, "observed"))
     rows = report.rows_table(spark).select(F.col("dataset").alias("name"), "n", F.lit(0).cast("bigint").alias("n_missing"), F.col("n_malformed").alias("n_rejected"))
     return report.columns_table(spark).select(F.col("column").alias("name"), F.col("n_present").alias("n"), "n_missing", "n_rejected").union(rows)
 
@@ -234,8 +224,7 @@ def ingest_incremental(spark, sf):
 
     source, folder = _yearly_csv(spark, sf), fresh_dir(spark, "growing")
     table = I.Table(fresh_dir(spark, "ingested"))
-    years = _years(spark, sf)
-    for some in _spans(years, 2):
+    for some in year_spans(spark, sf, 2):
         for y in some:
             text = csv.read_text(spark, f"{source}/year={y}").drop(csv.BAD)
             csv.write(text.withColumn("year", F.lit(y)), folder, ["year"], mode="append")

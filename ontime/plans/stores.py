@@ -1,14 +1,15 @@
-"""Queries on stored states and tables: sketches by year, bucketed joins, Parquet footers, exact splits."""
+"""Queries on stored states and tables: sketches by year, bucketed joins, Parquet footers, exact splits, wide features and matrices."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ontime.functions.values import real
-from ontime.operators import sample as S, sketches as K
+from ontime.operators import features as V, relate as R, sample as S, sketches as K
 from ontime.plans import oracle as O
 from ontime.plans.flights import EVENT_KEY, KEY, KEY_AND_RAW, flights, stored_path
-from ontime.plans.registry import _JOINED, _SCORES, _md5_sql, _rule_scores, names, query
+from ontime.plans.registry import _JOINED, _SCORES, _matrix_sql, _md5_sql, _rule_scores, cleaned, names, query, round_all
 from ontime.schema import RAW_NAMES, RAW_NUMERIC
 from ontime.session import fresh_dir
 from ontime.sources.bucketed import join_bucketed, write_bucketed
@@ -117,3 +118,32 @@ def exact_split(spark, sf):
     """The rare class of diverted flights is split exactly."""
     rows = flights(spark, sf, KEY).select(*EVENT_KEY, "DIVERTED")
     return S.exact_split(rows, 0.8, S.bucket_of(KEY, 42), "DIVERTED", EVENT_KEY)
+
+
+@query(O.on_flights(_matrix_sql(RAW_NUMERIC, "coalesce({c}, 0)")))
+def corr_matrix_tiled(spark, sf):
+    return round_all(R.correlations_tiled(flights(spark, sf), RAW_NUMERIC, "zero", tile=5), ["corr"])
+
+
+_INDEXED = O.per_column(
+    V.CATEGORIES, "SELECT '{c}' AS name, {c} AS value, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS place FROM clean WHERE {c} IS NOT NULL GROUP BY {c}"
+)
+_OFFSETS = [" + ".join([str(len(V.NUMBERS)), *(f"(SELECT count(DISTINCT {d}) FROM clean)" for d in V.CATEGORIES[:i])]) for i in range(len(V.CATEGORIES) + 1)]
+
+
+@query(
+    O.on_clean(
+        f"SELECT {names(KEY)}, CAST({_OFFSETS[-1]} AS BIGINT) AS width, concat_ws(',', "
+        + names([f"CAST(i{i}.place + {_OFFSETS[i]} AS BIGINT)" for i in range(len(V.CATEGORIES))])
+        + ") AS places, CAST(year + month + distance AS DOUBLE) AS some_numbers FROM clean "
+        + " ".join(f"JOIN indexed i{i} ON i{i}.name = '{c}' AND i{i}.value = {c}" for i, c in enumerate(V.CATEGORIES)),
+        indexed=_INDEXED,
+    )
+)
+def sparse_features(spark, sf):
+    """Feature vectors without a label on the driver: width, places of the categories, and numbers at their places."""
+    cells = V.sparse_features(cleaned(spark, sf)).select(*KEY, vector_to_array("features").alias("v"))
+    n = len(V.NUMBERS)
+    hot = F.filter(F.sequence(F.lit(n), F.size("v") - 1), lambda i: F.get("v", i) == 1.0)
+    some = F.get("v", F.lit(V.NUMBERS.index("year"))) + F.get("v", F.lit(V.NUMBERS.index("month"))) + F.get("v", F.lit(V.NUMBERS.index("distance")))
+    return cells.select(*KEY, F.size("v").cast("bigint").alias("width"), F.concat_ws(",", hot).alias("places"), some.alias("some_numbers"))

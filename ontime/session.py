@@ -72,6 +72,20 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def kept_parts(df: DataFrame, by: str, parts: int, label: str) -> list[DataFrame]:
+    """As ``kept``, in one job for several tables: the rows whose column ``by`` is 0, 1 and so on, without that column, each
+    with a size of its own."""
+    spark, path = df.sparkSession, fresh_dir(df.sparkSession, label)
+    df.write.partitionBy(by).parquet(path)
+    layout = df.drop(by).schema
+    out = []
+    for i in range(parts):
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={i}")
+        there = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+        out.append(spark.read.schema(layout).parquet(place.toString()) if there else spark.createDataFrame([], layout))
+    return out
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Set SQL options for the length of a block."""

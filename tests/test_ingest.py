@@ -1,0 +1,123 @@
+"""Ingests that count while they write, and folders that are read file by file."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from ontime.operators import profile as P
+from ontime.sources import csv, ingest as I
+from ontime.sources.parquet import read_years
+
+LAYOUT = T.StructType([T.StructField("FL_DATE", T.StringType()), T.StructField("x", T.DoubleType()), T.StructField("n", T.LongType())])
+HEADER = "FL_DATE,x,n"
+
+
+def put(folder, name, *lines, header=HEADER):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as f:
+        f.write("\n".join([header, *lines]) + "\n")
+
+
+@pytest.fixture
+def folder(tmp_path):
+    put(f"{tmp_path}/in/2009", "a.csv", "2009-01-01,1.5,1", "2009-01-02,NA,2", "2009-01-03,bad,x")
+    put(f"{tmp_path}/in/2009", "b.csv", "7,2009-05-01,2.5", header="n,FL_DATE,x")
+    put(f"{tmp_path}/in/2010", "a.csv", "2010-01-01,3.5,", "2010-01-02,4.5,4,more")
+    return tmp_path
+
+
+def rows(df):
+    return sorted(((r.FL_DATE, r.x, r.n) for r in df.collect()), key=str)
+
+
+ALL = [("2009-01-01", 1.5, 1), ("2009-01-02", None, 2), ("2009-01-03", None, None), ("2009-05-01", 2.5, 7), ("2010-01-01", 3.5, None), ("2010-01-02", 4.5, 4)]
+
+
+def test_counts_come_with_the_write(spark, folder):
+    paths = [f"{folder}/in/{y}" for y in (2009, 2010)]
+    report = I.observed(spark, paths, f"{folder}/out", LAYOUT)
+    assert rows(read_years(spark, f"{folder}/out", LAYOUT)) == ALL
+    assert report.rows == [("2009", 4, 0), ("2010", 2, 1)]
+    text = csv.union_by_name([csv.read_text(spark, p) for p in paths])
+    want = {r.column: (r.n_present, r.n_missing, r.n_rejected) for r in P.coercion_report(text, LAYOUT).collect()}
+    assert {r[0]: r[1:] for r in report.columns} == want == {"FL_DATE": (6, 0, 0), "x": (5, 1, 1), "n": (5, 1, 1)}
+    assert report.columns_table(spark).count() == 3 and report.rows_table(spark).count() == 2
+
+
+def test_text_is_scanned_once_and_not_shuffled(spark, folder):
+    text = csv.read_text(spark, f"{folder}/in/2010").withColumn("_dataset", F.lit(0))
+    seen = I.Observation("once")
+    counted = I.observe_rows(text, ["2010"], LAYOUT, "_dataset", seen)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "CollectMetrics" in plan and "Exchange" not in plan
+    counted.write.format("noop").mode("overwrite").save()
+    assert I.report_of(seen.get, ["2010"], LAYOUT).rows == [("2010", 2, 1)]
+
+
+def test_columns_that_no_file_has(spark, folder):
+    wide = T.StructType([*LAYOUT.fields, T.StructField("absent", T.DoubleType())])
+    report = I.observed(spark, [f"{folder}/in/2010"], f"{folder}/out", wide)
+    assert report.columns[-1] == ("absent", 0, 2, 0)
+    with pytest.raises(ValueError, match="no input"):
+        I.observed(spark, [], f"{folder}/out2", LAYOUT)
+
+
+def test_only_new_files_are_read(spark, folder):
+    table = I.Table(f"{folder}/table")
+    assert table.read(spark, LAYOUT).isEmpty()
+    first = I.ingest_new(spark, f"{folder}/in", table, LAYOUT)
+    assert [n for _, n in first] == [3, 1, 2] and rows(table.read(spark, LAYOUT)) == ALL
+    before = sorted(os.listdir(table.data))
+    assert I.ingest_new(spark, f"{folder}/in", table, LAYOUT) == [] and sorted(os.listdir(table.data)) == before
+    put(f"{folder}/in/2011", "new.csv", "2011-01-01,9.5,9")
+    ((path, n),) = I.ingest_new(spark, f"{folder}/in", table, LAYOUT)
+    assert path.endswith("/2011/new.csv") and n == 1
+    assert rows(table.read(spark, LAYOUT)) == [*ALL, ("2011-01-01", 9.5, 9)]
+    # The old text is not needed any more.
+    run = next(d for d in os.listdir(table.data) if d not in before)
+    assert spark.read.parquet(f"{table.data}/{run}").count() == 1
+
+
+def test_a_changed_file_replaces_its_rows(spark, folder):
+    table = I.Table(f"{folder}/table")
+    I.ingest_new(spark, f"{folder}/in", table, LAYOUT)
+    put(f"{folder}/in/2010", "a.csv", "2010-07-07,7.5,7")
+    os.utime(f"{folder}/in/2010/a.csv", (2_000_000_000, 2_000_000_000))
+    I.ingest_new(spark, f"{folder}/in", table, LAYOUT)
+    assert rows(table.read(spark, LAYOUT)) == [*ALL[:4], ("2010-07-07", 7.5, 7)]
+    assert table.entries(spark).count() == 4 and table.current(spark).count() == 3
+
+
+def test_a_run_that_broke_off_is_not_read(spark, folder):
+    """Its rows are there, its files are not in the ledger; the next run reads them again."""
+    table = I.Table(f"{folder}/table")
+    I.ingest_new(spark, f"{folder}/in/2009", table, LAYOUT)
+    stray = csv.typed(csv.read_text(spark, f"{folder}/in/2010", file_column="file"), LAYOUT, ["file"])
+    I.write_years(stray, f"{table.data}/run=broken")
+    assert rows(table.read(spark, LAYOUT)) == ALL[:4]
+    I.ingest_new(spark, f"{folder}/in", table, LAYOUT)
+    assert rows(table.read(spark, LAYOUT)) == ALL
+
+
+def test_empty_and_unreadable_files(spark, folder):
+    os.makedirs(f"{folder}/in/2012")
+    open(f"{folder}/in/2012/empty.csv", "w").close()
+    with open(f"{folder}/in/2012/torn.csv.gz", "wb") as f:
+        f.write(b"\x1f\x8bthis is no gzip")
+    table = I.Table(f"{folder}/table")
+    pattern = "*.csv*"
+    with pytest.raises(ValueError, match="torn"):
+        csv.by_header(spark, [r.path for r in csv.list_files(spark, f"{folder}/in", pattern).collect()])
+    groups = csv.by_header(spark, [r.path for r in csv.list_files(spark, f"{folder}/in", pattern).collect()], skip_unreadable=True)
+    assert sorted(map(len, groups.values())) == [1, 2]
+    I.ingest_new(spark, f"{folder}/in", table, LAYOUT, skip_unreadable=True)
+    assert rows(table.read(spark, LAYOUT)) == ALL
+
+
+def test_headers_are_read_in_tasks(spark, folder, monkeypatch):
+    """No file is opened from the driver unless it gave no line."""
+    monkeypatch.setattr(csv, "_opened", lambda *_: pytest.fail("opened on the driver"))
+    paths = [r.path for r in csv.list_files(spark, f"{folder}/in").collect()]
+    got = {p.rsplit("/", 2)[1:][0] + p.rsplit("/", 1)[1]: h for p, h, _ in csv.headers(spark, paths)}
+    assert got == {"2009a.csv": ["FL_DATE", "x", "n"], "2009b.csv": ["n", "FL_DATE", "x"], "2010a.csv": ["FL_DATE", "x", "n"]}

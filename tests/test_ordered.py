@@ -122,8 +122,22 @@ def test_rows_are_shuffled_once(spark):
     df = spark.range(3000).select((F.col("id") % 3).alias("g"), "id", F.lit(1).alias("n"))
     out = running_totals(df, ["g"], [F.col("id")], ["n"], 5)
     assert sorted((r.id, r.n_before, r.n_total) for r in out.collect()) == [(i, i // 3, 1000) for i in range(3000)]
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan and plan.count("Relation [") == 2
+    # Only the totals are exchanged: they are broadcast to the slices, whose scan has no exchange above it.
+    rows, totals = out._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange", 1)
+    assert "BroadcastHashJoin" in rows and "hashpartitioning" not in rows and "hashpartitioning" in totals
+    assert "_id_inner" not in totals and totals.count("FileScan") >= 1
+
+
+def test_totals_leave_with_the_slices_in_one_job(spark):
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), "id", F.lit(1).alias("n"))
+    spark.sparkContext.setJobGroup("ordered", "one write")
+    O.running_totals(df, ["g"], [F.col("id")], ["n"], 4)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("ordered")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # One samples the range bounds, one writes.
+    assert len(jobs) <= 3
 
 
 def test_a_group_named_nan_is_one_group_over_batches(spark):

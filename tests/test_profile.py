@@ -189,3 +189,28 @@ def test_year_report_takes_two_scans(spark):
 
     df = flights(spark, "/root/testdata/sf0.001", ["year"])
     assert P.year_report(df)._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+
+
+@pytest.mark.parametrize("rule", ["zero", "pairwise"])
+@pytest.mark.parametrize("tile", [1, 2, 5])
+def test_tiles_give_the_same_matrix(table, rule, tile):
+    columns = ["id", "x", "same"]
+    plain = {(r.col_x, r.col_y): r["corr"] for r in R.correlations(table, columns, rule).collect()}
+    tiled = {(r.col_x, r.col_y): r["corr"] for r in R.correlations_tiled(table, columns, rule, tile).collect()}
+    assert set(plain) == set(tiled) and len(tiled) == 9
+    for pair, corr in plain.items():
+        assert tiled[pair] == (corr if corr is None else pytest.approx(corr))
+
+
+def test_tiles_bound_what_leaves_a_task_at_a_time(spark, monkeypatch):
+    """Large values with small differences, several chunks, and partial sums of one pair of blocks in each batch."""
+    rng = np.random.default_rng(2)
+    data = rng.normal(size=(500, 7)) + 1e6
+    data[:, 1] = data[:, 0] * 2
+    df = spark.createDataFrame([tuple(map(float, r)) for r in data], ", ".join(f"k{i} double" for i in range(7))).repartition(3)
+    monkeypatch.setattr(R, "_CHUNK", 64)
+    got = {(r.col_x, r.col_y): r["corr"] for r in R.correlations_tiled(df, tile=3).collect()}
+    want = np.corrcoef(data.T)
+    for i in range(7):
+        for j in range(7):
+            assert got[f"k{i}", f"k{j}"] == pytest.approx(want[i, j], abs=1e-7)
