@@ -1,7 +1,8 @@
 """A join of two event streams that accounts for every row: matched, unmatched or late.
 
-Each row waits, in state under its event id, until its partner comes or a timer ends the wait; then the state of the id is gone. So state
-is bounded by the events of one waiting time, and each row of either stream leaves exactly once.
+Each row waits in state until its partner comes or its wait is over; then it is gone. So state is bounded by the events of one waiting
+time, and each row of either stream leaves exactly once. Event ids are dealt by hash into a fixed number of groups, and a group's waiting rows are
+one list with a timer for the earliest of them: a call of Python for each group and batch instead of several for each event.
 
 Spark drops rows behind the watermark before a stateful operator sees them. To report them instead, the watermark is declared on a clock
 that runs ahead of the event time by a constant, with the same constant as its delay: its value is then the latest event time seen,
@@ -9,7 +10,7 @@ and no row is behind it. What is late is decided here.
 
 Cases: repeated rows of one side wait in the order they came and are matched one by one, so nothing is paired twice. A row
 without an id is unmatched at once, one without a time late at once. Rows that wait when the stream ends stay in state until time goes on: a
-``heartbeat`` row moves it.
+``heartbeat`` row, which has a time and nothing else, moves it.
 """
 
 from __future__ import annotations
@@ -22,12 +23,14 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 #: Days by which the clock runs ahead; more than any event time may lie behind the latest one.
 AHEAD_DAYS = 36_500
+#: Groups of event ids. Each should hold some thousands of waiting rows at most.
+GROUPS = 256
 LEFT, RIGHT, BEAT = "left", "right", "beat"
 MATCHED, UNMATCHED, LATE = "matched", "unmatched", "late"
 
 
 class _Pairs(StatefulProcessor):
-    """State of one event id: the rows of one side that still wait."""
+    """State of one group of event ids: the rows that still wait, of each id those of one side only."""
 
     def __init__(self, layout: T.StructType, out: T.StructType, wait_ms: int, left: list[str], right: list[str]):
         self.layout, self.wait_ms, self.left, self.right = layout, wait_ms, left, right
@@ -37,9 +40,9 @@ class _Pairs(StatefulProcessor):
         self.handle = handle
         self.waiting = handle.getListState("waiting", self.layout)
 
-    def _row(self, outcome: str, key, one, other=None) -> Row:
+    def _row(self, outcome: str, one, other=None) -> Row:
         both = {r["side"]: r for r in (one, other) if r is not None}
-        cells = [key, outcome]
+        cells = [one["key"], outcome]
         for side, columns in ((LEFT, self.left), (RIGHT, self.right)):
             r = both.get(side)
             cells += [r["micros"] if r else None, *[r[c] if r else None for c in columns]]
@@ -49,55 +52,64 @@ class _Pairs(StatefulProcessor):
         """When the wait for a row's partner is over, in the milliseconds of timers."""
         return row["micros"] // 1000 + self.wait_ms
 
-    def _waiting(self) -> list[Row]:
-        return [self.state(*w) for w in self.waiting.get()]
+    def _load(self) -> dict[str, list[Row]]:
+        waiting: dict[str, list[Row]] = {}
+        for w in self.waiting.get():
+            row = self.state(*w)
+            waiting.setdefault(row["key"], []).append(row)
+        return waiting
+
+    def _keep(self, waiting: dict[str, list[Row]], now: int) -> None:
+        rows = [w for ws in waiting.values() for w in ws]
+        if rows:
+            self.waiting.put([tuple(w[n] for n in self.layout.names) for w in rows])
+            self.handle.registerTimer(max(min(map(self._end, rows)), now + 1))
+        else:
+            self.waiting.clear()
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        key, now = key[0], timerValues.getCurrentWatermarkInMs()
-        waiting, before = None, 0
+        now = timerValues.getCurrentWatermarkInMs()
+        waiting = self._load()
+        changed = False
         for r in rows:
             if r["side"] == BEAT:
                 continue
-            if key is None:
-                yield self._row(UNMATCHED, key, r)
+            if r["key"] is None:
+                yield self._row(UNMATCHED, r)
             elif r["micros"] is None or self._end(r) < now:
-                yield self._row(LATE, key, r)
+                yield self._row(LATE, r)
             else:
-                if waiting is None:
-                    waiting = self._waiting()
-                    before = len(waiting)
-                if waiting and waiting[0]["side"] != r["side"]:
-                    yield self._row(MATCHED, key, waiting.pop(0), r)
+                changed = True
+                mine = waiting.setdefault(r["key"], [])
+                if mine and mine[0]["side"] != r["side"]:
+                    yield self._row(MATCHED, mine.pop(0), r)
                 else:
-                    waiting.append(r)
-                    self.handle.registerTimer(max(self._end(r), now + 1))
-        if waiting is not None and (waiting or before):
-            self._keep(waiting)
-
-    def _keep(self, waiting: list) -> None:
-        if waiting:
-            self.waiting.put([tuple(w[n] for n in self.layout.names) for w in waiting])
-        else:
-            self.waiting.clear()
+                    mine.append(r)
+        if changed:
+            self._keep(waiting, now)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        waiting = self._waiting()
+        ended = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        waiting = self._load()
+        left = {}
+        for id_, rows in waiting.items():
+            for w in rows:
+                if self._end(w) <= ended:
+                    yield self._row(UNMATCHED, w)
+                else:
+                    left.setdefault(id_, []).append(w)
         if waiting:
-            ended = expiredTimerInfo.getExpiryTimeInMs()
-            due = [w for w in waiting if self._end(w) <= ended]
-            if due:
-                self._keep([w for w in waiting if self._end(w) > ended])
-            for w in due:
-                yield self._row(UNMATCHED, key[0], w)
+            self._keep(left, ended)
 
     def close(self) -> None:
         pass
 
 
-def outcomes(left: DataFrame, right: DataFrame, key: str, time: str, wait: dt.timedelta) -> DataFrame:
+def outcomes(left: DataFrame, right: DataFrame, key: str, time: str, wait: dt.timedelta, groups: int = GROUPS) -> DataFrame:
     """(key, outcome, left_<time>, left's columns, right_<time>, right's columns) for streams of events with an id and a time.
 
-    Matched rows have both sides, others their own. The two streams' other columns need different names.
+    Matched rows have both sides, others their own. The two streams' other columns need different names. ``groups`` must
+    stay the same for as long as the checkpoint is used.
     """
     parts, columns = [], {LEFT: [c for c in left.columns if c not in (key, time)], RIGHT: [c for c in right.columns if c not in (key, time)]}
     if set(columns[LEFT]) & set(columns[RIGHT]):
@@ -113,8 +125,10 @@ def outcomes(left: DataFrame, right: DataFrame, key: str, time: str, wait: dt.ti
     both = parts[0].unionByName(parts[1])
     # Python gets times as whole numbers, so no time zone comes between.
     ahead = F.col("time") + F.expr(f"INTERVAL '{AHEAD_DAYS}' DAY")
-    both = both.select("key", "side", F.unix_micros("time").alias("micros"), *everything, ahead.alias("clock"))
-    layout = T.StructType([f for f in both.schema.fields if f.name not in ("key", "clock")])
+    # Rows without an id keep no state, so they need not meet.
+    group = F.pmod(F.when(F.col("key").isNull(), F.xxhash64("time", *everything)).otherwise(F.xxhash64("key")), F.lit(groups)).alias("bucket")
+    both = both.select(group, "key", "side", F.unix_micros("time").alias("micros"), *everything, ahead.alias("clock"))
+    layout = T.StructType([f for f in both.schema.fields if f.name not in ("bucket", "clock")])
     out, found = [T.StructField(key, kinds[key]), T.StructField("outcome", T.StringType())], [F.col(key), F.col("outcome")]
     for side in (LEFT, RIGHT):
         out += [T.StructField(f"{side}_{time}", T.LongType()), *[T.StructField(c, kinds[c]) for c in columns[side]]]
@@ -122,7 +136,7 @@ def outcomes(left: DataFrame, right: DataFrame, key: str, time: str, wait: dt.ti
     pairs = _Pairs(layout, T.StructType(out), int(wait.total_seconds() * 1000), columns[LEFT], columns[RIGHT])
     paired = (
         both.withWatermark("clock", f"{AHEAD_DAYS} days")
-        .groupBy("key")
+        .groupBy("bucket")
         .transformWithState(statefulProcessor=pairs, outputStructType=T.StructType(out), outputMode="Append", timeMode="EventTime")
     )
     return paired.select(*found)
