@@ -54,6 +54,19 @@ def work_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """Another session of the same application with the same settings.
+
+    A session that has observed a write holds an object that can't be sent to tasks, and closures of the machine-learning library
+    send their session; so observing is done in a session that nothing else uses.
+    """
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    return other
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared work folder."""
     return f"{work_root(spark)}/ontime-{label}-{uuid.uuid4().hex}"

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from ontime.operators.clean import union_by_name
 from ontime.operators.profile import known_and_converted
 from ontime.schema import RAW
+from ontime.session import own_session
 from ontime.sources import csv
 from ontime.sources.parquet import write_years
 
@@ -71,7 +72,8 @@ def observed(spark: SparkSession, paths: list[str], out: str, layout: T.StructTy
     if not paths:
         raise ValueError("no input paths")
     datasets = [p.rstrip("/").rsplit("/", 1)[-1] for p in paths]
-    parts = [csv.read_text(spark, p, **options).withColumn("_dataset", F.lit(i)) for i, p in enumerate(paths)]
+    own = own_session(spark)
+    parts = [csv.read_text(own, p, **options).withColumn("_dataset", F.lit(i)) for i, p in enumerate(paths)]
     seen = Observation("ingest")
     rows = observe_rows(union_by_name(parts), datasets, layout, "_dataset", seen)
     write_years(rows, out, date, gather=False)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from ontime.operators import profile as P
+from ontime.session import own_session
 from ontime.sources import csv, ingest as I
 from ontime.sources.parquet import read_years
 
@@ -46,7 +47,7 @@ def test_counts_come_with_the_write(spark, folder):
 
 
 def test_text_is_scanned_once_and_not_shuffled(spark, folder):
-    text = csv.read_text(spark, f"{folder}/in/2010").withColumn("_dataset", F.lit(0))
+    text = csv.read_text(own_session(spark), f"{folder}/in/2010").withColumn("_dataset", F.lit(0))
     seen = I.Observation("once")
     counted = I.observe_rows(text, ["2010"], LAYOUT, "_dataset", seen)
     plan = counted._jdf.queryExecution().executedPlan().toString()
@@ -55,6 +56,16 @@ def test_text_is_scanned_once_and_not_shuffled(spark, folder):
     assert I.report_of(seen.get, ["2010"], LAYOUT).rows == [("2010", 2, 1)]
 
 
+def test_models_can_be_fitted_afterwards(spark, folder):
+    """Observing leaves something in its session that closures of the machine-learning library can't carry."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    I.observed(spark, [f"{folder}/in/2010"], f"{folder}/out", LAYOUT)
+    df = spark.createDataFrame([(float(i), i % 2) for i in range(20)], "x double, label int")
+    assert LogisticRegression(maxIter=2).fit(VectorAssembler(inputCols=["x"], outputCol="features").transform(df)).numFeatures == 1
+
+
 def test_columns_that_no_file_has(spark, folder):
     wide = T.StructType([*LAYOUT.fields, T.StructField("absent", T.DoubleType())])
     report = I.observed(spark, [f"{folder}/in/2010"], f"{folder}/out", wide)
