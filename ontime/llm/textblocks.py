@@ -127,6 +127,14 @@ def repeated(values: np.ndarray) -> np.ndarray:
     return twice[at] == values
 
 
+def later(values: np.ndarray) -> np.ndarray:
+    """True where an equal value stands further in front."""
+    _, first = np.unique(values, return_index=True)
+    out = np.ones(len(values), bool)
+    out[first] = False
+    return out
+
+
 def sums(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Whole-number sum of the values of each row."""
     return np.bincount(rows, weights=values, minlength=n).astype(np.int64) if len(rows) else np.zeros(n, np.int64)

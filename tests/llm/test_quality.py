@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from hypothesis import given, settings, strategies as st
 import pyarrow as pa
+import pyarrow.parquet as pq
 
 from ontime.llm import quality
 from ontime.llm.queries import QUERIES
@@ -19,6 +20,16 @@ def windows(words, n):
     return {j for i in range(len(words) - n + 1) if seen[tuple(words[i : i + n])] > 1 for j in range(i, i + n)}
 
 
+def later(words, n):
+    seen, out = set(), set()
+    for i in range(len(words) - n + 1):
+        window = tuple(words[i : i + n])
+        if window in seen:
+            out.update(range(i, i + n))
+        seen.add(window)
+    return out
+
+
 def plain(text):
     text = text or ""
     words = WORD.findall(text)
@@ -27,9 +38,12 @@ def plain(text):
     again = [x for i, x in enumerate(lines) if x in lines[:i]]
     symbols, three = sum(c in "#*$%&|<>" for c in text), len(windows(words, 3))
     failed = len(words) < 50 or 100 * three > 50 * len(words)
-    shares = {n: sum(len(words[i]) for i in windows(words, n)) / max(chars, 1) for n in quality.LENGTHS}
+    shares = {n: sum(len(words[i]) for i in later(words, n)) / max(chars, 1) for n in quality.LENGTHS}
     line_chars = sum(map(len, again)) / max(sum(map(len, lines)), 1)
-    kept = not failed and max(shares.values()) <= 0.5 and line_chars <= 0.3 and symbols <= 0.1 * len(words)
+    limits = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
+    repetitive = any(shares[n] > limits[n] for n in limits)
+    headed = len(again) < 2 or len(again) <= 0.3 * len(lines)
+    kept = not failed and not repetitive and headed and line_chars <= 0.2 and symbols <= 0.1 * len(words)
     counts = [len(words), chars, symbols, len(again), three]
     return counts + [failed, kept], shares | {"lines": line_chars}
 
@@ -71,3 +85,38 @@ def test_a_lone_repeated_line_does_not_reject_a_good_text():
     line = "one line that is set twice in this text as a heading"
     text = line + "\n" + " ".join(f"word{i}" for i in range(60)) + "\n" + line
     assert quality.score_texts(pa.array([text])).to_pylist()[0]["kept"]
+
+
+def verdict(text):
+    same(row := quality.score_texts(pa.array([text])).to_pylist()[0], text)
+    assert not row["base_failed"]
+    return row["kept"]
+
+
+def test_a_text_that_passes_the_base_is_rejected_for_its_sequences():
+    words = [f"word{i:03}" for i in range(150)]
+    assert verdict(" ".join(words))
+    # 30 of 180 words are a passage given again: 0.17 of the characters, 0.33 with its first occurrence.
+    assert not verdict(" ".join(words + words[40:70]))
+    # 12 of 162 are not too much.
+    assert verdict(" ".join(words + words[40:52]))
+
+
+def test_a_text_that_passes_the_base_is_rejected_for_its_lines():
+    body = [" ".join(f"w{line}x{i}" for i in range(40)) for line in range(4)]
+    two, three = "short line", "other one"
+    # Lines of two words never make a sequence of five; 4 of 10 lines are given again.
+    text = "\n".join([two, body[0], two, body[1], three, body[2], two, body[3], three, two])
+    row = quality.score_texts(pa.array([text])).to_pylist()[0]
+    assert max(row[f"dup_{n}_chars"] for n in quality.LENGTHS) == 0
+    assert not verdict(text)
+    assert verdict("\n".join([two, *body, two]))
+
+
+def test_both_rules_reject_texts_of_the_test_table():
+    """What the base rule lets pass, the sequences and the lines do not always."""
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"]).column(0).combine_chunks()
+    rows = [r for r in quality.score_texts(texts).to_pylist() if not r["base_failed"]]
+    assert sum(any(r[f"dup_{n}_chars"] > quality.MOST_REPEATED[n] for n in quality.LENGTHS) for r in rows) > 0
+    assert sum(r["n_dup_lines"] > 1 and r["dup_line_share"] > quality.MOST_LINES for r in rows) > 0
+    assert sum(not r["kept"] for r in rows) < 0.1 * len(rows)
