@@ -129,14 +129,27 @@ class Classes:
 
     def __init__(self, percent: int):
         self.percent = percent
-        ratio = max(1.5, 105 / percent)
+        # As narrow as lets a text link into the next class at most: wide classes have room for differences that small sets lack.
+        ratio = 105 / percent
         lows = [1]
         while lows[-1] < 1 << 40:
             lows.append(max(lows[-1] + 1, int(lows[-1] * ratio)))
         self.lows = np.array(lows, np.int64)
         high = self.lows[1:] - 1
         self.differ = 2 * high * (100 - percent) // (100 + percent)
-        self.spare = 2 + self.differ // 16
+        # Any number gives right results; one that hashed sets seldom exceed sends few of them to leaves of empty blocks, where
+        # unrelated sets meet. The smallest sets of a class, also of those that reach into it from below, have the most empty blocks:
+        # as many as balls thrown at random leave, and rarely three deviations more.
+        fewest = -(-percent * self.lows[:-1] // 100)
+        blocks = self.differ + 1.0
+        for _ in range(60):
+            missed = np.exp(-fewest / blocks)
+            empty = blocks * missed
+            deviation = np.sqrt(empty * np.maximum(1 - (1 + fewest / blocks) * missed, 0))
+            blocks = np.minimum(self.differ + 3 + np.ceil(empty + 3 * deviation), 3.0 * self.differ + 3)
+        # At low percentages a class has more room for differences than its smallest sets have shingles; no number is enough there.
+        enough = blocks < 2 * self.differ + 3
+        self.spare = np.where(enough, blocks.astype(np.int64) - self.differ - 1, 2 + self.differ // 16)
         self.blocks = self.differ + 1 + self.spare
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
@@ -501,9 +514,25 @@ def classes(df: DataFrame, id: str = "doc_id", text: str = "text", percent: int
 
 
 def keep_first(df: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 85, width: int = 4) -> DataFrame:
-    """One row of each component, the one of its smallest id; of rows that share this id, the one of smallest text. Rows without an id stay."""
-    first = classes(df, id, text, percent, width).where("id = component_id").select("id").distinct()
+    """One row of each component, the one of its smallest id; rows equal in id and text are one. Rows without an id stay.
+
+    Different texts of one id are documents of their own: one of them keeps the id, the others get ids above all in use.
+    """
+    column, value = F.col(f"`{id}`"), F.col(f"`{text}`")
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
-    rows = df.select(row, F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    rows = df.where(column.isNotNull()).select(row, column.cast("long").alias("id"), value.alias("text"))
+    print_ = F.struct(F.xxhash64("text"), F.hash("text"))
+    shared = rows.groupBy("id").agg(F.min(print_).alias("p0"), F.max(print_).alias("p1")).where("p0 != p1").select("id")
+    shared = stored(shared, "shared-ids")
+    if not shared.isEmpty():
+        digest = F.coalesce(F.sha2("text", 256), F.lit(""))
+        several = rows.join(shared, "id").select("id", digest.alias("digest")).distinct()
+        first = several.groupBy("id").agg(F.min("digest").alias("digest"))
+        top = rows.agg(F.max("id")).first()[0]
+        others = positions(several.join(first, ["id", "digest"], "left_anti"), [], [F.col("id"), F.col("digest")])
+        fresh = stored(others.select("id", "digest", (F.col("position") + 1 + F.lit(top)).alias("fresh")), "fresh-ids")
+        rows = rows.withColumn("digest", digest).join(fresh, ["id", "digest"], "left")
+        rows = stored(rows.select("row", F.coalesce("fresh", "id").alias("id"), "text"), "rows-by-text")
+    first = classes(rows.select("id", "text"), "id", "text", percent, width).where("id = component_id").select("id").distinct()
     kept = rows.join(first, "id").groupBy("id").agg(F.min_by("row", F.struct(F.col("text").isNull(), "text")).alias("row"))
-    return kept.select("row.*").union(df.where(F.col(f"`{id}`").isNull()))
+    return kept.select("row.*").union(df.where(column.isNull()))

@@ -148,10 +148,37 @@ def test_cases(spark):
     assert sorted(r.n_shingles for r in got if r.id in (1, 2, 4, 12)) == [0, 0, 0, 1, 1]
     kept = jaccard.keep_first(df)
     assert kept.columns == df.columns
-    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 6, 7, 9, 10]
+    # Of document 12, "One two" is a copy of document 4, and the row without a text stays.
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect() if not r.text) == [(1, None), (2, ""), (12, None)]
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 6, 7, 9, 10, 12]
     assert jaccard.classes(df.limit(0)).count() == 0 and jaccard.keep_first(df.limit(0)).count() == 0
 
 
+def test_different_texts_of_one_id_are_kept(spark):
+    """Also where one id holds most rows; copies among them go, under whichever id."""
+    text = lambda i: " ".join(f"t{i}w{j}" for j in range(30))
+    rows = [(5, text(i)) for i in range(40)] + [(5, text(3)), (6, text(7) + " more"), (9, text(50)), (10, text(50)), (2**40, text(60))]
+    kept = jaccard.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # Document 6 and a text of document 5 are one group; which of them stays depends on the ids, one does.
+    left = sorted(r.text.split("w")[0] for r in kept)
+    assert left == sorted(f"t{i}" for i in [*range(40), 50, 60])
+    assert {r.doc_id for r in kept if r.text == text(50)} == {9}
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_few_hashed_sets_exceed_the_spare_blocks(percent):
+    """Of sets of any size that take part in a class, one in two hundred at most has more empty blocks than the class has to spare."""
+    kinds, rng = jaccard.Classes(percent), np.random.default_rng(1)
+    tried = over = 0
+    for n in (60, 150, 300, 569, 711, 1500, 2878, 3597):
+        own = int(kinds.of(np.array([n]))[0])
+        for k in (own, own + 1)[: 1 + bool(kinds.reaches_next(np.array([n]))[0])]:
+            for _ in range(300):
+                empty = kinds.blocks[k] - len(np.unique(rng.integers(0, kinds.blocks[k], n)))
+                tried, over = tried + 1, over + (empty > kinds.spare[k])
+    assert over <= tried * 0.005
+
+
 def test_components_of_chains_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(300, 301), (301, 302), (302, 300), (5, 5)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
