@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ontime.llm.quality import spare_name
-from ontime.llm.tables import hash_sample
+from ontime.llm.tables import hash_sample, stored
 from ontime.session import durable
 
 #: Largest number of labelled URLs that the trees learn from.
@@ -50,14 +50,15 @@ def with_rules(df: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """Columns host, path, rule and verdict added; the last two are null where no rule fits.
 
     Distinct hosts meet the rules by equality of a suffix, so neither many rules nor many rows of one host are compared in pairs.
-    Rules are gathered for each host and then tested against each of its paths.
+    Rules are gathered for each host and then tested against each of its paths. What hosts with a rule make is written first: Spark then
+    knows its size, and where that is small no row of the table is shuffled, however many of them share a host.
     """
     taken = {n: spare_name(df, n) for n in ("host", "path", "rule", "verdict")}
     column = F.col(f"`{url}`")
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), host(column).alias("host"), path(column).alias("path"))
     hosts = rows.select("host").distinct().select("host", F.explode(suffixes(F.col("host"))).alias("suffix"))
     named = rules.select(F.col("host").alias("suffix"), F.struct(F.concat("host", "path").alias("rule"), F.col("path").alias("begin"), F.col("verdict").alias("verdict")).alias("r"))
-    fitting = hosts.join(named, "suffix").groupBy("host").agg(F.collect_list("r").alias("fitting"))
+    fitting = stored(hosts.join(named, "suffix").groupBy("host").agg(F.collect_list("r").alias("fitting")), "rules-by-host")
     longest = F.aggregate(
         F.filter("fitting", lambda r: F.startswith(F.col("path"), r["begin"])),
         F.lit(None).cast("struct<rule:string,begin:string,verdict:string>"),

@@ -66,6 +66,13 @@ def test_one_or_no_label(spark):
     assert [r.verdict for r in urls.judge(none, urls.fit(none)).collect()] == ["allow"] * 3
 
 
+def test_rows_are_not_shuffled_by_host(spark):
+    """One host may hold most rows; the rules of few hosts go to the rows."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")
+    plan = urls.with_rules(pages, url_rules(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_no_python_in_the_plan(spark):
     plan = QUERIES["op9_url_trees"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
