@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ontime.functions.values import iso_date
 from ontime.schema import RAW, RAW_NAMES
 from ontime.session import fresh_dir
 from ontime.sources.parquet import read_years, write_years
@@ -84,28 +85,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _by_year(lines: DataFrame) -> DataFrame:
+    """The few columns that a record is made of, gathered by year, so that no whole record is shuffled."""
+    lines = lines.select(*KEY, "l_quantity", "l_shipdate", "s_nationkey", "c_nationkey")
+    return lines.withColumn("year", F.year(iso_date(F.expr(RECORD["FL_DATE"])))).hint("rebalance", "year")
+
+
 def derive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One flight per line item: its key and the raw record.
+    """One flight per line item: its key, the raw record and the year by which they are gathered.
 
     The small sides are joined to each other first, so the line items are shuffled twice at most (by
     order, by supplier) and not once per table. Broadcasts are left to Spark, which checks sizes;
     skewed keys are split by adaptive execution.
     """
     nation = table(spark, sf_dir, "nation")
-    origins = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    origins = origins.select("s_suppkey", F.col("n_name").alias("origin_n"))
-    homes = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    homes = homes.select("c_custkey", F.col("n_name").alias("dest_n"))
-    trips = table(spark, sf_dir, "orders").join(homes, F.col("o_custkey") == F.col("c_custkey"))
-    trips = trips.select("o_orderkey", "dest_n")
+    origins = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("origin_n"))
+    homes = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("dest_n"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    trips = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    trips = trips.select("o_orderkey", "c_nationkey")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     lines = (
         table(spark, sf_dir, "lineitem")
-        .join(origins, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(trips, F.col("l_orderkey") == F.col("o_orderkey"))
     )
-    helped = lines.withColumns({k: F.expr(v) for k, v in HELPERS.items()})
+    # Names come last: until then a nation is one number.
+    named = _by_year(lines).join(origins, "s_nationkey").join(homes, "c_nationkey")
+    helped = named.withColumns({k: F.expr(v) for k, v in HELPERS.items()})
     helped = helped.withColumns({k: F.expr(v) for k, v in HELPERS_2.items()})
-    return helped.select(*KEY, *[F.expr(RECORD[c]).alias(c) for c in RAW_NAMES])
+    return helped.select(*KEY, "year", *[F.expr(RECORD[c]).alias(c) for c in RAW_NAMES])
 
 
 _stored: dict[tuple[str, str, str], str] = {}
@@ -125,7 +134,8 @@ def _stored_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[]
             del _stored[place]
     if place not in _stored:
         path = fresh_dir(spark, name)
-        write_years(build(), path)
+        # The rows come gathered by year, so each task writes what it has.
+        write_years(build(), path, gather=False)
         _stored[place] = path
     return _stored[place]
 
@@ -180,14 +190,8 @@ def untidy(column: str) -> str:
 def flights_text(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """Flights with every column as text, as a CSV file would hold them, some of it untidy."""
 
-    def build() -> DataFrame:
-        df = flights(spark, sf_dir, [*KEY, "year"])
-        return df.select(*KEY, "year", *[F.expr(untidy(c)).alias(c) for c in RAW_NAMES])
-
-    texts = [T.StructField(c, T.StringType()) for c in RAW_NAMES]
-    layout = T.StructType(KEY_AND_RAW.fields[: len(KEY)] + texts)
-    path = _stored_once(spark, sf_dir, "flights-text", build)
-    return read_years(spark, path, layout).select(*(keep or []), *RAW_NAMES)
+    df = flights(spark, sf_dir, [*KEY, "year"])
+    return df.select(*(keep or []), *[F.expr(untidy(c)).alias(c) for c in RAW_NAMES])
 
 
 def flights_text_sql(keep: list[str] | None = None) -> str:

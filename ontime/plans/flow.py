@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ontime.operators import clean as C, evolution as V, messages as M
 from ontime.plans import oracle as O
 from ontime.plans.flights import EVENT_KEY, KEY, flights
-from ontime.plans.registry import _EVENTS, _INBOX, _rule_scores, _state_sql, _typed_sql, _yearly_csv, messages, names, query, year_spans
+from ontime.plans.registry import _EVENTS, _INBOX, _rule_scores, _state_sql, _typed_sql, _yearly_csv, messages, names, query, write_yearly_csv, year_spans
 from ontime.schema import MESSAGE, RAW, RAW_NAMES
 from ontime.session import fresh_dir
 from ontime.sources import ingest as I
@@ -220,14 +220,10 @@ def ingest_observed(spark, sf):
 @query(O.on_flights(f"SELECT year, {names([_typed_sql(c) for c in RAW_NAMES])} FROM flights"))
 def ingest_incremental(spark, sf):
     """A folder that grows between three runs; every file is read by one of them."""
-    from ontime.sources import csv
-
-    source, folder = _yearly_csv(spark, sf), fresh_dir(spark, "growing")
+    folder = fresh_dir(spark, "growing")
     table = I.Table(fresh_dir(spark, "ingested"))
     for some in year_spans(spark, sf, 2):
-        for y in some:
-            text = csv.read_text(spark, f"{source}/year={y}").drop(csv.BAD)
-            csv.write(text.withColumn("year", F.lit(y)), folder, ["year"], mode="append")
+        write_yearly_csv(spark, sf, folder, some)
         I.ingest_new(spark, folder, table)
         I.ingest_new(spark, folder, table)
     return table.read(spark).select("year", *RAW_NAMES)

@@ -57,21 +57,24 @@ def _typed_sql(c: str) -> str:
     return f"CASE WHEN {MOD} IN ({names([str(k) for k in UNTIDY[c]])}) THEN NULL ELSE {c} END AS {c}" if c in UNTIDY else c
 
 
+def write_yearly_csv(spark: SparkSession, sf: str, path: str, years: list[int] | None = None) -> None:
+    """Untidy flights as one CSV folder per year. Even years have a junk last column, odd ones their columns in another order."""
+    text = flights_text(spark, sf, ["year"])
+    text = text if years is None else text.where(F.col("year").isin(years))
+    csv.write(text.filter("year % 2 = 0").withColumn("Unnamed: 27", F.lit(None).cast("string")), path, ["year"], mode="append")
+    odd = text.filter("year % 2 <> 0")
+    csv.write(odd.select(*reversed(odd.columns)), path, ["year"], mode="append")
+
+
 _yearly: dict[tuple[str, str], str] = {}
 
 
 def _yearly_csv(spark: SparkSession, sf: str) -> str:
-    """Untidy flights as one CSV folder per year. Even years have a junk last column, odd ones their columns in another order.
-
-    Written once for each application and input.
-    """
+    """All years, written once for each application and input."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _yearly:
         path = fresh_dir(spark, "csv")
-        text = flights_text(spark, sf, ["year"])
-        csv.write(text.filter("year % 2 = 0").withColumn("Unnamed: 27", F.lit(None).cast("string")), path, ["year"])
-        odd = text.filter("year % 2 <> 0")
-        csv.write(odd.select(*reversed(odd.columns)), path, ["year"], mode="append")
+        write_yearly_csv(spark, sf, path)
         _yearly[key] = path
     return _yearly[key]
 
@@ -168,7 +171,8 @@ def union_years(spark, sf):
 @query(O.on_flights(f"SELECT year, {names(RAW_NAMES)} FROM flights"))
 def parquet_roundtrip(spark, sf):
     path = fresh_dir(spark, "parquet")
-    parquet.write_years(flights(spark, sf), path)
+    # The stored table is in years already.
+    parquet.write_years(flights(spark, sf), path, gather=False)
     return parquet.read_years(spark, path, RAW)
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Wide projections compile to one long method, and the JVM does not optimise methods above 8000 bytes.
 # With this limit Spark takes its split-up code path for those stages instead, which runs several times faster.
 WIDE_STAGES = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+# A write into folders otherwise sorts each task's whole rows by folder first; tasks that meet more folders still do.
+FOLDERS = {"spark.sql.maxConcurrentOutputFileWriters": "16"}
 
 
 def local_session(cores: int | str = 8, app: str = "ontime") -> SparkSession:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ontime.functions.values import convert
 from ontime.operators.clean import constant_table, union_by_name
 from ontime.schema import RAW
-from ontime.session import WIDE_STAGES, settings
+from ontime.session import FOLDERS, WIDE_STAGES, settings
 
 BAD = "_malformed"
 PATTERN = "*.csv"
@@ -270,5 +270,5 @@ def write(df: DataFrame, path: str, by: list[str] | None = None, one_file: bool
         texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
         df = df.withColumns({c: F.when(F.col(f"`{c}`").rlike("[\r\n]"), stop).otherwise(F.col(f"`{c}`")) for c in texts}) if texts else df
     out = (df.coalesce(1) if one_file else df).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
-    with settings(df.sparkSession, WIDE_STAGES):
+    with settings(df.sparkSession, WIDE_STAGES | FOLDERS):
         (out.partitionBy(*by) if by else out).csv(path)

@@ -145,7 +145,7 @@ def ingest_new(spark: SparkSession, folder: str, table: Table, layout: T.StructT
     text = csv.read_groups(spark, groups, skip_unreadable=skip_unreadable, file_column="_file")
     rows = csv.typed(text.withColumn("file", csv.plain_path("_file")), layout, ["file"])
     target = f"{table.data}/run={run}"
-    write_years(rows, target, date)
+    write_years(rows, target, date, gather=False)
     # Counted from the written column alone.
     counts = spark.read.schema("file string").parquet(target).groupBy("file").agg(F.count("*").alias("n"))
     read = {f for files in groups.values() for f in files}

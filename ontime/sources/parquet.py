@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ontime.functions.values import calendar_date, finite
 from ontime.operators.clean import union_by_name
 from ontime.schema import RAW
-from ontime.session import WIDE_STAGES, settings
+from ontime.session import FOLDERS, WIDE_STAGES, settings
 from ontime.sources import csv
 
 
@@ -19,7 +19,7 @@ def write_years(df: DataFrame, path: str, date: str = "FL_DATE", mode: str = "ov
     writes its own file per year; that saves the shuffle where tasks are large already.
     """
     dated = df if "year" in df.columns else df.withColumn("year", F.year(calendar_date(date, df.schema[date].dataType)))
-    with settings(df.sparkSession, WIDE_STAGES):
+    with settings(df.sparkSession, WIDE_STAGES | FOLDERS):
         (dated.hint("rebalance", "year") if gather else dated).write.mode(mode).partitionBy("year").parquet(path)
 
 
