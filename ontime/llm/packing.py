@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ontime.llm import mixing
 from ontime.llm.tables import stored
@@ -97,8 +97,8 @@ def cuts(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 
 def _pieces(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, capacity: int) -> DataFrame:
-    """Pieces of each text; with a source, the first of a text also has that and the text's size."""
-    with_source = "source" in docs.columns
+    """Pieces of each text; with a source, the first of a text also has that and the text's size, and likewise with a place."""
+    with_source, with_place = "source" in docs.columns, "place" in docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]):
         loaded = tokenizers_at(json_path, ranks_path, pattern)
@@ -120,10 +120,13 @@ def _pieces(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, capa
             if with_source:
                 columns += [batch.column("source").take(pa.array(firsts, pa.int32())), pa.array(chars, pa.int64())]
                 names += ["source", "chars"]
+            if with_place:
+                columns.append(batch.column("place").take(pa.array(firsts, pa.int32())))
+                names.append("place")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["id"].dataType.simpleString()
-    more = ", source string, chars long" if with_source else ""
+    more = ", source string, chars long" * with_source + ", place string" * with_place
     return docs.mapInArrow(cut, f"id {kind}, piece int, start long, length long, ids_crc32 long{more}")
 
 
@@ -302,23 +305,35 @@ def assign(items: DataFrame, capacity: int = CAPACITY, ordered: bool = False) ->
     return total
 
 
-def _mixed(pieces: DataFrame) -> DataFrame:
-    """The pieces, with items numbered in the order of the mixture: by the slot of their document, then as they were."""
+def _ordered(pieces: DataFrame, heads: DataFrame, by: str) -> DataFrame:
+    """The pieces, with items numbered by a column of their documents' first pieces (item and that column), then as they were."""
     # Pieces of a document are numbered one after the other.
+    pieces = pieces.withColumn("head", F.col("item") - F.col("piece"))
+    placed = pieces.join(heads.select(F.col("item").alias("head"), by), "head").drop("head")
+    return positions(placed, [], [F.col(by), F.col("item")]).drop(by, "item").withColumnRenamed("position", "item")
+
+
+def _mixed(pieces: DataFrame) -> DataFrame:
+    """The pieces, with items numbered in the order of the mixture: by the slot of their document."""
     heads = pieces.where("piece = 0").select("item", "id", "source", "chars")
     size = F.col("chars")
     placed = mixing.interleave(heads, mixing.tempered_weights(heads, "source", size), "source", size, ["id"])
-    pieces = pieces.drop("source", "chars").withColumn("head", F.col("item") - F.col("piece"))
-    slotted = pieces.join(placed.select(F.col("item").alias("head"), "slot"), "head").drop("head")
-    return positions(slotted, [], [F.col("slot"), F.col("item")]).drop("slot", "item").withColumnRenamed("position", "item")
+    return _ordered(pieces.drop("source", "chars"), placed, "slot")
 
 
-def pack(df: DataFrame, json_path: str, ranks_path: str, pattern: str, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, source: str | None = None) -> DataFrame:
-    """(id, piece, start, length, ids_crc32, sequence_id, offset) for each piece of each row. With a source column, in the order of the mixture."""
-    own = [F.col(f"`{source}`").cast("string").alias("source")] if source else []
+def pack(
+    df: DataFrame, json_path: str, ranks_path: str, pattern: str, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, source: str | None = None, place: Column | None = None
+) -> DataFrame:
+    """(id, piece, start, length, ids_crc32, sequence_id, offset) for each piece of each row. With a source column, in the order of the mixture;
+    with a place, a text by which rows are in order, in that order."""
+    if source and place is not None:
+        raise ValueError("give a source or a place: either sets the order")
+    own = [F.col(f"`{source}`").cast("string").alias("source")] if source else [place.alias("place")] if place is not None else []
     docs = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), *own)
     # Items are numbered once and kept, so that a second run of a task can't renumber them.
     pieces = stored(_pieces(docs, json_path, ranks_path, pattern, capacity).withColumn("item", F.monotonically_increasing_id()), "pieces")
     if source:
         pieces = stored(_mixed(pieces), "mixed")
-    return pieces.join(assign(pieces.select("item", "length"), capacity, bool(source)), "item").drop("item")
+    elif own:
+        pieces = stored(_ordered(pieces.drop("place"), pieces.where("piece = 0"), "place"), "in-place")
+    return pieces.join(assign(pieces.select("item", "length"), capacity, bool(own)), "item").drop("item")

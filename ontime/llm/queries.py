@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ontime.llm import bpe, jaccard, licenses, mixing, neardup, packing, pii, quality, resample, suffix, urls, warc, whitening
 from ontime.session import fresh_dir
@@ -106,11 +106,11 @@ def op7_license_dice(spark, sf_dir):
     return found.select("doc_id", F.size("m").cast("long").alias("n_matches"), F.concat_ws(",", names).alias("licenses"), F.array_max("m.dice").alias("best_dice"))
 
 
-def pack_documents(docs: DataFrame, source: str | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, source: str | None = None, place: Column | None = None) -> DataFrame:
     """With the public byte-level vocabulary, in both of its forms."""
     import public_tokenizers as public
 
-    packed = packing.pack(docs, public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN, source=source)
+    packed = packing.pack(docs, public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN, source=source, place=place)
     return packed.withColumnRenamed("id", "doc_id")
 
 
