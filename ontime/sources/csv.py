@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import csv as csv_module
 import re
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ontime.functions.values import convert
@@ -29,23 +27,20 @@ def _reader(spark: SparkSession, pattern: str = PATTERN):
     return spark.read.option("header", True).option("pathGlobFilter", pattern).option("quote", '"').option("escape", '"')
 
 
-# Every file is one split and every split one task, and a task gets single rows.
-_ONE_LINE = {"spark.sql.files.maxPartitionBytes": "1t", "spark.sql.files.openCostInBytes": "1t", "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
+# Every split is a task of its own, so that a task's first row is the first line of its split.
+_ONE_SPLIT = {"spark.sql.files.openCostInBytes": "1t"}
+#: The part of monotonically_increasing_id that counts the rows of a task.
+_ROW_OF_TASK = (1 << 33) - 1
 
 
 def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """The first line of every file that has one, by plain path. Tasks read the lines and stop; the driver gets only them."""
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
-
-    with settings(spark, _ONE_LINE):
-        lines = spark.read.option("ignoreCorruptFiles", True).text(paths).where("_metadata.file_block_start = 0")
-        named = lines.select(F.col("_metadata.file_path").alias("path"), "value")
-        found = named.mapInArrow(first, "path string, value string").collect()
+    """The first line of every file that has one, by plain path. Tasks read no more than a split of a file and keep single lines;
+    the driver gets only them."""
+    with settings(spark, _ONE_SPLIT):
+        lines = spark.read.option("ignoreCorruptFiles", True).text(paths)
+        at = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_OF_TASK))
+        named = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), at.alias("row"), "value")
+        found = named.where("start = 0 AND row = 0").select("path", "value").collect()
     return {plain(r.path): r.value for r in found}
 
 
@@ -82,10 +77,15 @@ def _opened(spark: SparkSession, path: str) -> tuple[str | None, str | None]:
         return None, str(cause.toString() if cause else error).splitlines()[0]
 
 
-def by_header(spark: SparkSession, files: list[str], skip_unreadable: bool = False) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header. One without a header line has no rows; one that can't be read is an error unless it may be skipped."""
+def by_header(
+    spark: SparkSession, files: list[str], skip_unreadable: bool = False, found: list[tuple[str, list[str] | None, str | None]] | None = None
+) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header. One without a header line has no rows; one that can't be read is an error unless it may be skipped.
+
+    ``found`` is what ``headers`` gave for these files, where that is known already.
+    """
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file, header, reason in headers(spark, files):
+    for file, header, reason in headers(spark, files) if found is None else found:
         if header is not None:
             groups.setdefault(tuple(header), []).append(file)
         elif reason != "no header line" and not skip_unreadable:
@@ -129,6 +129,7 @@ def read_text(
     skip_unreadable: bool = False,
     multi_line: bool = False,
     file_column: str | None = None,
+    found: list[tuple[str, list[str] | None, str | None]] | None = None,
 ) -> DataFrame:
     """One CSV data set (a file, or a folder of files) with every column as text.
 
@@ -138,14 +139,14 @@ def read_text(
     Rows with too few or too many cells stay, with the original line in ``_malformed``. A file without a readable header is an
     error; with ``skip_unreadable`` it is left out instead, and ``file_report`` lists it with the reason. ``multi_line`` allows
     line breaks inside quoted cells; such files can't be split over tasks, so it is off by default. ``file_column`` adds each row's file
-    under that name.
+    under that name. ``found`` is what ``headers`` gave for the files, where that is known already.
     """
-    files = [r.path for r in list_files(spark, path, pattern).select("path").collect()]
+    files = [r.path for r in list_files(spark, path, pattern).select("path").collect()] if found is None else [f for f, _, _ in found]
     if not files:
         raise ValueError(f"no CSV files in {path}")
     if columns is not None:
         return _scan(spark, path, columns, None, pattern, False, skip_unreadable, multi_line, file_column)
-    groups = by_header(spark, files, skip_unreadable)
+    groups = by_header(spark, files, skip_unreadable, found)
     if not groups:
         raise ValueError(f"no readable CSV files in {path}")
     single = path.rstrip("/").rsplit("/", 1)[-1] == files[0].rsplit("/", 1)[-1]
@@ -225,7 +226,7 @@ def file_report(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataF
     if all(header is None for _, header, _ in found):
         counts = outcome.limit(0).select("path", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("n_malformed"))
     else:
-        text = read_text(spark, path, pattern=pattern, skip_unreadable=True, file_column="_file")
+        text = read_text(spark, path, pattern=pattern, skip_unreadable=True, file_column="_file", found=found)
         # Spark refuses to read the mark alone, so a cell of the row is read with it.
         marked = F.when(F.col(BAD).isNotNull(), F.struct(text.columns[0]))
         counts = text.groupBy(F.col("_file").alias("path")).agg(F.count("*").alias("n"), F.count(marked).alias("n_malformed"))

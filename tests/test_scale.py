@@ -59,3 +59,26 @@ def test_a_write_by_year_holds_no_sort_of_whole_rows(spark, tmp_path):
         back = spark.read.parquet(f"{tmp_path}/{years}")
         assert back.exceptAll(rows).isEmpty() and back.count() == 400
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
+
+
+def test_first_lines_are_read_split_by_split(spark, tmp_path):
+    """A large file is not read by one task, and its header is read once for a report."""
+    rows = spark.range(3000).selectExpr("id", "concat('text ', id) AS t")
+    csv.write(rows.coalesce(1), f"{tmp_path}/a")
+    (path,) = [r.path for r in csv.list_files(spark, f"{tmp_path}/a").collect()]
+    calls, real = [], csv.first_lines
+    csv.first_lines = lambda s, p: calls.append(p) or real(s, p)
+    context, before = spark.sparkContext, spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        context.setJobGroup("first-lines", "first lines")
+        assert real(spark, [path]) == {csv.plain(path): "id,t"}
+        (job,) = context.statusTracker().getJobIdsForGroup("first-lines")
+        stage = context.statusTracker().getStageInfo(context.statusTracker().getJobInfo(job).stageIds[0])
+        assert stage.numTasks > 5
+        context.setJobGroup("other", "other")
+        assert [r.n for r in csv.file_report(spark, f"{tmp_path}/a").collect()] == [3000]
+    finally:
+        csv.first_lines = real
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(calls) == 1
