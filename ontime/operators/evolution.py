@@ -260,20 +260,33 @@ def read_versions(spark: SparkSession, path: str) -> dict[str, dict]:
 
 def decode_versions(df: DataFrame, writers: dict[str, dict], reader: dict, version: str = "version", keep: list[str] | None = None, refused: str = "refused") -> DataFrame:
     """Message values of several schema versions as the reader's columns, and a list of what was refused of each message."""
-    values, reasons = [], []
-    for name, writer in sorted(writers.items()):
-        here = F.col(version).cast("string") == F.lit(name)
+    keep, used = keep or [], {c.lower() for c in keep or []}
+
+    def spare(name: str) -> str:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        return name
+
+    text, known, is_whole, row = (spare(n) for n in ("_text", "_version", "_whole", "_row"))
+    whole, bodies, values, reasons = F.col(is_whole), {}, [], []
+    for i, (name, writer) in enumerate(sorted(writers.items())):
+        here = F.col(known) == F.lit(name)
         found = resolve(writer, reader)
         if found.refused:
             reasons.append(F.when(here, F.array(*[F.lit(f"{r.path}: {r.rule}") for r in found.refused])))
             continue
-        data = F.from_json(F.col("value").cast("string"), read_type(writer), JSON_OPTIONS | {"columnNameOfCorruptRecord": "_unreadable"})
-        # Text that isn't a record at all comes back as a record of nulls; its first character tells.
-        whole = F.col("value").cast("string").rlike(r"^\s*\{.*\}\s*$") & F.try_parse_json(F.col("value").cast("string")).isNotNull()
+        body = spare(f"_body{i}")
+        bodies[body] = F.when(here & whole, F.from_json(text, read_type(writer), JSON_OPTIONS | {"columnNameOfCorruptRecord": "_unreadable"}))
+        data = F.col(body)
         broken = F.array(*[F.when(when(data), F.lit(f"{r.path}: {r.rule}")) for r, when in found.breaks]) if found.breaks else F.array().cast("array<string>")
         reason = F.when(whole, F.array_compact(broken)).otherwise(F.array(F.lit(".: unreadable")))
         values.append(F.when(here & whole, found.value(data)))
         reasons.append(F.when(here, reason))
-    row = F.coalesce(*values) if values else F.lit(None).cast(read_type(reader))
+    value = F.coalesce(*values) if values else F.lit(None).cast(read_type(reader))
     why = F.coalesce(*reasons, F.array(F.lit(".: version"))).alias(refused)
-    return df.select(*(keep or []), row.alias("_row"), why).select(*(keep or []), "_row.*", refused)
+    # A column for each step: what the next one uses for every field is worked out once a message.
+    texts = df.select(*keep, F.col("value").cast("string").alias(text), F.col(version).cast("string").alias(known))
+    # Text that isn't a record at all would come back as a record of nulls; its first character tells.
+    marked = texts.withColumn(is_whole, F.col(text).rlike(r"^\s*\{.*\}\s*$") & F.try_parse_json(text).isNotNull())
+    return marked.withColumns(bodies).select(*keep, value.alias(row), why).select(*keep, f"{row}.*", refused)

@@ -103,3 +103,22 @@ def test_one_scan_for_all_versions(spark, tmp_path):
 def test_read_type_of_what_is_written():
     for kind in M.AVRO_NAMES.values():
         assert M.read_type(kind) is not None
+
+
+def test_a_message_is_read_once(spark):
+    """Not once for each field of the reader, and rule, that looks into it."""
+    fields = [{"name": n, "type": "string"} for n in "abcdef"]
+    writer = {"type": "record", "name": "R", "fields": fields}
+    rows = spark.createDataFrame([("1", '{"a":"x","b":null}'), ("1", "none"), (None, "{}")], "version string, value string")
+    read = V.decode_versions(rows, {"1": writer}, writer, keep=["version"])
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("parse_json(") <= 1
+    got = [(r.a, r.b, r.refused) for r in read.collect()]
+    assert got[0][:2] == ("x", None) and got[1] == (None, None, [".: unreadable"]) and got[2] == (None, None, [".: version"])
+
+
+def test_kept_columns_may_have_the_names_of_steps(spark):
+    writer = {"type": "record", "name": "R", "fields": [{"name": "a", "type": "string"}]}
+    rows = spark.createDataFrame([("1", '{"a":"x"}', 1, 2, 3, 4, 5)], "version string, value string, _row int, _text int, _whole int, _body0 int, _version int")
+    keep = ["_row", "_text", "_whole", "_body0", "_version"]
+    assert V.decode_versions(rows, {"1": writer}, writer, keep=keep).first()[:] == (1, 2, 3, 4, 5, "x", [])
