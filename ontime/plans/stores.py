@@ -83,11 +83,17 @@ def sketch_store_years(spark, sf):
     return _flight_sketches(spark, sf).groupBy("year").agg(F.sum("n").alias("n"), F.count("*").alias("n_states"))
 
 
+#: Rows of a bucket, about: one task sorts them, in memory.
+BUCKET_ROWS = 1_000_000
+
+
 @query(O.on_clean(f"SELECT {names(_JOINED)} FROM scores", **_SCORES))
 def prediction_join_bucketed(spark, sf):
     """The join of two prediction tables that are stored by event: no row moves."""
     left, right = _rule_scores(flights(spark, sf, KEY))
-    tables = [write_bucketed(t, ["event_id"], 8) for t in (left, right.drop("event_time"))]
+    # The count is read from the stored table's footers.
+    buckets = max(8, -(-flights(spark, sf).count() // BUCKET_ROWS))
+    tables = [write_bucketed(t, ["event_id"], buckets) for t in (left, right.drop("event_time"))]
     return join_bucketed(spark, *tables, ["event_id"]).select(*_JOINED)
 
 

@@ -82,3 +82,28 @@ def test_first_lines_are_read_split_by_split(spark, tmp_path):
         csv.first_lines = real
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert len(calls) == 1
+
+
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    from ontime.plans import stores
+
+    seen, real = [], stores.write_bucketed
+    monkeypatch.setattr(stores, "write_bucketed", lambda df, keys, buckets: seen.append(buckets) or real(df, keys, buckets))
+    n, counts = T.flights(spark, SF).count(), set()
+    for rows, wanted in ((1_000_000, 8), (500, -(-n // 500))):
+        monkeypatch.setattr(stores, "BUCKET_ROWS", rows)
+        counts.add(stores.prediction_join_bucketed(spark, SF).count())
+        assert seen[-2:] == [wanted, wanted]
+    assert len(counts) == 1
+
+
+def test_a_stream_of_many_tasks_is_not_dealt_again(spark, monkeypatch):
+    from ontime.plans import flow
+
+    rows = T.flights(spark, SF, T.KEY)
+    seen, real = [], flow.X.source
+    monkeypatch.setattr(flow.X, "source", lambda s, f, o, layout: seen.append((o["maxFilesPerTrigger"], spark.read.parquet(o["path"]).inputFiles())) or real(s, f, o, layout))
+    monkeypatch.setattr(flow, "flights", lambda *_: rows.repartition(12))
+    found = flow.stream_two_sinks(spark, SF)
+    assert seen[0][0] == "4" and len(seen[0][1]) == 12
+    assert found.where("n_table = 1 AND n_outbox = 1 AND same").count() == flow.messages(rows).count() > 0
