@@ -18,6 +18,9 @@ from ontime.streaming import batches as B, pairing as P, pipeline as X
 
 NOW = {"availableNow": True}
 
+#: Flights for each group of a stream join, about: a third of them meet in one batch.
+GROUP_ROWS = 100_000
+
 
 # ---- streams -----------------------------------------------------------------------------------
 
@@ -59,6 +62,8 @@ def stream_outcomes(spark, sf):
     sides = [fresh_dir(spark, n) for n in ("left", "right")]
     out, checkpoint = fresh_dir(spark, "outcomes"), fresh_dir(spark, "outcomes-checkpoint")
     wait = dt.timedelta(minutes=10)
+    # A group's rows are in one task's memory, so groups grow with the rows.
+    groups = max(P.GROUPS, flights(spark, sf).count() // GROUP_ROWS)
 
     def predictions(wanted: str, years: list[int] | None = None) -> tuple[DataFrame, DataFrame]:
         rows = flights(spark, sf, [*KEY, "year"]).where(wanted)
@@ -71,7 +76,7 @@ def stream_outcomes(spark, sf):
     streams = [X.source(spark, "parquet", {"path": p}, s) for p, s in zip(sides, layouts)]
 
     def go_on() -> None:
-        joined = P.outcomes(*streams, "event_id", "event_time", wait)
+        joined = P.outcomes(*streams, "event_id", "event_time", wait, groups)
         X.drain(X.start(joined, "parquet", checkpoint, {"path": out}, NOW))
 
     def send(left: DataFrame | None, right: DataFrame | None) -> None:
@@ -89,7 +94,7 @@ def stream_outcomes(spark, sf):
     go_on()
     send(None, predictions(_STALE)[1])
     go_on()
-    found = spark.read.schema(P.outcomes(*streams, "event_id", "event_time", wait).schema).parquet(out)
+    found = spark.read.schema(P.outcomes(*streams, "event_id", "event_time", wait, groups).schema).parquet(out)
     return P.outcome_counts(found).join(found.groupBy("outcome").agg(F.count_distinct("event_id").alias("n_events")), "outcome")
 
 

@@ -2,7 +2,9 @@
 
 import datetime as dt
 import json
+import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -181,3 +183,40 @@ def test_messages_published_again_are_dropped_over_batches_and_runs(spark, tmp_p
     assert got == ["a", "a", "b", "c", "d"]
     last = json.loads(progress[-1].json) if hasattr(progress[-1], "json") else progress[-1]
     assert last["stateOperators"][0]["numRowsTotal"] == 2
+
+
+# ---- joins with outcomes, by whole columns -----------------------------------------------------
+
+
+def test_columns_are_paired_as_rows_one_by_one_would_be():
+    rng = random.Random(5)
+    for n in (0, 1, 7, 300):
+        rows = pd.DataFrame({"key": [f"k{rng.randrange(1 + n // 4)}" for _ in range(n)], "side": [rng.choice([P.LEFT, P.RIGHT]) for _ in range(n)]}, dtype=object)
+        waiting, want = {}, set()
+        for i, (key, side) in enumerate(rows.itertuples(index=False)):
+            mine = waiting.setdefault(key, [])
+            if mine and rows["side"][mine[0]] != side:
+                want.add((mine.pop(0), i))
+            else:
+                mine.append(i)
+        left, right = P._partners(rows)
+        assert {(min(p), max(p)) for p in zip(left.tolist(), right.tolist())} == want
+        assert set(rows["side"].iloc[left]) <= {P.LEFT} and set(rows["side"].iloc[right]) <= {P.RIGHT}
+
+
+def test_other_types_and_keys_come_through(spark, tmp_path):
+    """Numbers with nulls, large numbers, no numbers, dates and lists, with a number as the id, matched over two runs."""
+    sides = [T.StructType([T.StructField("id", T.LongType()), T.StructField("at", T.TimestampType()), T.StructField(f"n{c}", T.LongType()), T.StructField(f"x{c}", T.DoubleType()), T.StructField(f"d{c}", T.DateType()), T.StructField(f"l{c}", T.ArrayType(T.StringType()))]) for c in "ab"]
+    big, day = 2**62 + 1, dt.date(1999, 12, 31)
+    sent = [[(big, BASE, big, float("nan"), day, ["é", None, '"']), (2, BASE, None, None, None, None), (3, BASE, -1, -0.1, day, [])], [(big, BASE, None, 0.1, None, ["a"]), (2, BASE, big, None, day, None)]]
+    for i, (layout, rows) in enumerate(zip(sides, sent)):
+        for j in range(2):
+            spark.createDataFrame([], layout).write.mode("append").parquet(f"{tmp_path}/{j}")
+        spark.createDataFrame(rows, layout).write.mode("append").parquet(f"{tmp_path}/{i}")
+        streams = [X.source(spark, "parquet", {"path": f"{tmp_path}/{j}"}, s) for j, s in enumerate(sides)]
+        joined = P.outcomes(*streams, "id", "at", dt.timedelta(minutes=10), groups=4)
+        X.drain(X.start(joined, "parquet", f"{tmp_path}/checkpoint", {"path": f"{tmp_path}/out"}, NOW))
+    got = {r.id: r for r in spark.read.schema(joined.schema).parquet(f"{tmp_path}/out").collect()}
+    assert set(got) == {big, 2} and all(r.outcome == P.MATCHED and r.left_at == r.right_at == BASE for r in got.values())
+    assert (got[big].na, got[big].da, got[big].la, got[big].nb, got[big].xb, got[big].db, got[big].lb) == (big, day, ["é", None, '"'], None, 0.1, None, ["a"])
+    assert got[big].xa != got[big].xa and (got[2].na, got[2].xa, got[2].da, got[2].la, got[2].nb, got[2].db) == (None, None, None, None, big, day)
