@@ -107,7 +107,7 @@ def stream_dedup(spark, sf):
     spans = year_spans(spark, sf, 3)
 
     def publish(years: list[int], at: dt.datetime) -> None:
-        rows.where(F.col("year").isin(years)).select("event_id", F.lit(at).cast("timestamp").alias("published")).write.mode("append").parquet(inbox)
+        rows.where(F.col("year").isin(years)).select("event_id", F.lit(at).cast("timestamp").alias("published")).write.mode("append").option("compression", "zstd").parquet(inbox)
 
     for step in range(len(spans) + 1):
         at = dt.datetime(2020, 1, 1) + dt.timedelta(hours=step)
