@@ -6,21 +6,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ontime.llm import jaccard, mixing, pii, quality
 from ontime.llm.queries import pack_documents
-from ontime.session import fresh_dir
+from ontime.session import bound_batches, fresh_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
+    bound_batches(spark)
     return quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of texts that links of similar word shingles connect, the document of smallest id."""
+    bound_batches(spark)
     return jaccard.keep_first(docs, percent=80, width=5)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data masked. The field learns from these documents' own pattern matches."""
+    bound_batches(spark)
     return pii.mask(docs, pii.fit(docs))
 
 
