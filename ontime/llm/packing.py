@@ -23,8 +23,10 @@ Extra columns are not read; a null source is a source of its own. An empty table
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -56,16 +58,22 @@ _loaded: dict[tuple[str, str, str], tuple] = {}
 
 
 def tokenizers_at(json_path: str, ranks_path: str, pattern: str):
-    """The reference tokeniser, and the same vocabulary in a library several times as fast; loaded once for each worker."""
+    """What gives the reference tokeniser, the same vocabulary in a library several times as fast, and the special tokens; loaded once for
+    each worker, the reference (34 MB) only when a text first needs it."""
     key = (json_path, ranks_path, pattern)
     if key not in _loaded:
         import tiktoken
-        from tokenizers import Tokenizer
+
+        @cache
+        def reference():
+            from tokenizers import Tokenizer
+
+            return Tokenizer.from_file(json_path)
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines)}
-        reference = Tokenizer.from_file(json_path)
-        special = [t.content for t in reference.get_added_tokens_decoder().values()]
+        with open(json_path, encoding="utf-8") as text:
+            special = [t["content"] for t in json.load(text)["added_tokens"]]
         _loaded[key] = reference, tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), special
     return _loaded[key]
 
@@ -76,7 +84,7 @@ def token_ids(text: str | None, loaded: tuple) -> np.ndarray:
     text = text or ""
     # The fast library's pattern engine gives up on very long runs, so long texts without spaces and such runs are left to the reference.
     plain = not any(t in text for t in special) and (len(text) < LONG_RUN or _longest_word(text) < LONG_RUN)
-    ids = fast.encode_ordinary(text) if plain else reference.encode(text, add_special_tokens=False).ids
+    ids = fast.encode_ordinary(text) if plain else reference().encode(text, add_special_tokens=False).ids
     out = np.empty(len(ids) + 1, "<u4")
     out[:-1] = ids
     out[-1] = END

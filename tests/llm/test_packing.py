@@ -32,6 +32,24 @@ def test_odd_texts_have_the_reference_ids(text):
     assert packing.token_ids(text, LOADED).tolist() == ids(text)
 
 
+def test_workers_load_the_reference_only_for_texts_that_need_it(monkeypatch):
+    loads = []
+
+    class Counted:
+        @staticmethod
+        def from_file(path):
+            loads.append(path)
+            return Tokenizer.from_file(path)
+
+    monkeypatch.setattr(packing, "_loaded", {})
+    monkeypatch.setattr("tokenizers.Tokenizer", Counted)
+    loaded = packing.tokenizers_at(public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+    assert packing.token_ids("plain text", loaded).tolist() == ids("plain text") and not loads
+    for text in ("<|endoftext|>", "a <|endoftext|>"):
+        assert packing.token_ids(text, loaded).tolist() == ids(text)
+    assert len(loads) == 1
+
+
 def check(rows, texts):
     """rows: packed pieces; texts: (id, text) of each input row."""
     pieces, places = defaultdict(list), defaultdict(list)

@@ -3,7 +3,7 @@
 import pyarrow as pa
 
 import corpus_pipeline
-from ontime.session import TEXT_BATCH
+from ontime.session import TEXT_BATCH, fresh_dir
 
 
 def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
@@ -28,3 +28,17 @@ def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
         assert spark.conf.get(key) == "1m"
     finally:
         spark.conf.unset(key)
+
+
+def test_packing_bounds_its_batches(spark):
+    """Also where no stage before it ran in the session."""
+    (key,) = TEXT_BATCH
+    docs = spark.createDataFrame([(0, "a b", "en", "a", 3)], "doc_id long, text string, lang string, source string, n_chars long")
+    path = fresh_dir(spark, "packing-input")
+    docs.write.parquet(path)
+    assert key not in spark.conf.getAll
+    try:
+        assert corpus_pipeline.packing(spark, spark.read.parquet(path), "").count() == 1
+        assert spark.conf.get(key) == TEXT_BATCH[key]
+    finally:
+        spark.conf.unset(key)
