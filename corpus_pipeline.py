@@ -39,7 +39,6 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the tokenised documents, with their place in a sequence. Sequences follow the order in which the mixture was written: its
     files are ranges of slots by name, and rows keep their place inside a file however it is read."""
-    bound_batches(spark)
     # The number of a file's task has five digits or more; the count of them comes first, so that texts are in the order of numbers.
     number = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1)
     place = F.concat(F.lpad(F.length(number).cast("string"), 2, "0"), number, F.lit("/"), F.col("_metadata.file_name"), F.lit("/"), F.lpad(F.col("_metadata.row_index").cast("string"), 19, "0"))
