@@ -71,3 +71,9 @@ def test_rules_join_stores_its_state_once_a_run(spark, monkeypatch):
     commits, parts = state_of(spark, monkeypatch, "stream_join_rules")
     assert len(commits) == len(Q.date_spans(spark, SF)) > 1
     assert len(parts) == spark.sparkContext.defaultParallelism
+
+
+def test_join_of_models_stores_its_state_once_a_run(spark, monkeypatch):
+    commits, parts = state_of(spark, monkeypatch, "stream_join")
+    assert len(commits) == len(Q.date_spans(spark, SF)) > 1
+    assert len(parts) == spark.sparkContext.defaultParallelism
